@@ -19,7 +19,7 @@ from clicktrail.operators.activity import activity, purchases, touches
 from clicktrail.plans import models, reports
 from clicktrail.plans.batch import Run, run_batch, run_sem
 from clicktrail.rules import HIT_COLUMNS, Rules
-from clicktrail.session import new_path
+from clicktrail.session import Staging, new_path, unstaged
 from clicktrail.sinks import files, outputs
 from clicktrail.sources import manifest
 from clicktrail.sources.event_hits import hits_from_events, with_dirt
@@ -362,7 +362,11 @@ def invoice_reconcile(spark, sf_dir):
 
 def _revenue_of(spark, sf_dir, model: str) -> DataFrame:
     act = _activity(spark, sf_dir)
-    return _money(models.keyword_revenue(models.credit(act, RULES, model=model), RULES), "revenue")
+    stage = unstaged
+    if model in ("linear", "time_decay"):
+        stage = Staging(spark, model)
+        act = stage(act)
+    return _money(models.keyword_revenue(models.credit(act, RULES, model=model, stage=stage), RULES), "revenue")
 
 
 @query
@@ -387,7 +391,8 @@ def time_decay(spark, sf_dir):
 
 @query
 def model_compare(spark, sf_dir):
-    return models.compare_models(_activity(spark, sf_dir), RULES)
+    stage = Staging(spark, "compare")
+    return models.compare_models(stage(_activity(spark, sf_dir)), RULES, stage=stage)
 
 
 @query

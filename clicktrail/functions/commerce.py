@@ -22,7 +22,7 @@ def has_event(event_list: Column, event_id: str, delimiter: str = ",") -> Column
     blank = "[" + re.escape(WHITESPACE) + "]*"
     edge = literal_pattern(delimiter)
     pattern = f"(?:^|{edge}){blank}{literal_pattern(event_id)}{blank}(?:{edge}|\\z)"
-    return F.coalesce(event_list.rlike(pattern), F.lit(False))
+    return F.coalesce(F.contains(event_list, F.lit(event_id)) & event_list.rlike(pattern), F.lit(False))
 
 
 def has_purchase(event_list: Column, rules: Rules) -> Column:

@@ -13,7 +13,7 @@ PHASE_WORDS = (
     ("phase4", ("phase4", "run")),
     ("phase5", ("phase5", "sprint")),
 )
-NAME_TIMESTAMP = r"_([0-9]{8})_([0-9]{6})\."
+NAME_TIMESTAMP = r"_[0-9]{8}_[0-9]{6}\."
 
 
 def file_name(path: Column) -> Column:
@@ -29,13 +29,6 @@ def has_name_timestamp(name: Column) -> Column:
     return name.rlike(NAME_TIMESTAMP)
 
 
-def name_timestamp(path: Column) -> Column:
-    """The contract's timestamp as a sortable number, 0 when there is none."""
-    name = file_name(path)
-    digits = F.concat(F.regexp_extract(name, NAME_TIMESTAMP, 1), F.regexp_extract(name, NAME_TIMESTAMP, 2))
-    return F.coalesce(digits.try_cast("bigint"), F.lit(0).cast("bigint"))
-
-
 def phase_label(key: Column) -> Column:
     """Delivery phase of an object key: its own path part, else a word in the key."""
     folder = F.regexp_extract(F.concat(F.lit("/"), key, F.lit("/")), "/(phase[0-9]+)/", 1)

@@ -75,7 +75,7 @@ def activity(hits: DataFrame, rules: Rules, scope: Sequence[str] = (), blank_key
 
 def relevant(rows: DataFrame) -> DataFrame:
     """Touches and purchases of hits that have a session key."""
-    return rows.where((F.col("session") != "") & (is_touch() | F.col("is_purchase")))
+    return rows.where((F.col("is_purchase") | is_touch()) & (F.col("session") != ""))
 
 
 def touches(act: DataFrame) -> DataFrame:

@@ -87,18 +87,24 @@ def _with_reasons(rows: DataFrame, reasons: list[Column]) -> DataFrame:
     return rows.withColumn(REASON, F.explode(F.array_compact(F.array(*reasons))))
 
 
+def _null_reasons(rules: Rules, columns: Sequence[str]) -> list[Column]:
+    present = [c for c in rules.critical_columns if c in columns]
+    return [F.when(is_blank(F.col(c)), F.lit(f"null_critical_column: {c}")) for c in present]
+
+
+def _type_reasons(rules: Rules, columns: Sequence[str]) -> list[Column]:
+    typed = [(c, t) for c, t in rules.column_dtypes if c in columns]
+    return [F.when(_type_error(c, t), F.lit(f"type_error: {c}")) for c, t in typed]
+
+
 def null_rejects(hits: DataFrame, rules: Rules) -> DataFrame:
     """A row per failing critical column."""
-    present = [c for c in rules.critical_columns if c in hits.columns]
-    reasons = [F.when(is_blank(F.col(c)), F.lit(f"null_critical_column: {c}")) for c in present]
-    return _with_reasons(hits.where(has_null_critical(rules, hits.columns)), reasons)
+    return _with_reasons(hits.where(has_null_critical(rules, hits.columns)), _null_reasons(rules, hits.columns))
 
 
 def type_rejects(hits: DataFrame, rules: Rules) -> DataFrame:
     """A row per column whose text is not of the declared type."""
-    typed = [(c, t) for c, t in rules.column_dtypes if c in hits.columns]
-    reasons = [F.when(_type_error(c, t), F.lit(f"type_error: {c}")) for c, t in typed]
-    return _with_reasons(hits.where(has_type_error(rules, hits.columns)), reasons)
+    return _with_reasons(hits.where(has_type_error(rules, hits.columns)), _type_reasons(rules, hits.columns))
 
 
 def profile(hits: DataFrame, rules: Rules) -> DataFrame:
@@ -172,9 +178,11 @@ def summary(hits: DataFrame, rules: Rules) -> DataFrame:
 
 
 def row_rejects(hits: DataFrame, rules: Rules) -> DataFrame:
-    """Rejects that can be told from the row alone."""
-    rejects = null_rejects(hits, rules)
-    return rejects.unionByName(type_rejects(hits, rules)) if rules.reject_type_errors else rejects
+    """All rejects that can be told from the row alone, in one pass."""
+    if not rules.reject_type_errors:
+        return null_rejects(hits, rules)
+    reasons = _null_reasons(rules, hits.columns) + _type_reasons(rules, hits.columns)
+    return _with_reasons(hits.where(~is_valid(rules, hits.columns)), reasons)
 
 
 def error_rows(hits: DataFrame, rules: Rules, scope: Sequence[str] = ()) -> DataFrame:

@@ -15,13 +15,14 @@ Hits without a usable time cannot be ordered and take no part here.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clicktrail.operators.activity import is_touch, keyed
 from clicktrail.operators.spread import SALT, SALT_SET, join_spread, salt_of, salt_set
+from clicktrail.session import unstaged
 
 DAY = 86400
 STRETCH = 8
@@ -30,7 +31,7 @@ CREDIT = "decimal(38,11)"
 
 def _seconds(act: DataFrame, scope: Sequence[str]) -> DataFrame:
     """One row per session and second: its last touch and its counted revenue."""
-    return (
+    seconds = (
         act.where(F.col("ts").isNotNull())
         .groupBy(*keyed(scope), "ts")
         .agg(
@@ -39,6 +40,11 @@ def _seconds(act: DataFrame, scope: Sequence[str]) -> DataFrame:
         )
         .withColumn("day", F.expr(f"ts div {DAY}"))
     )
+    # States what the join below would infer for each side in its own way; with
+    # both sides alike, their scan and shuffle are done once and reused.
+    for key in [*keyed(scope), "day"]:
+        seconds = seconds.where(F.col(key).isNotNull())
+    return seconds
 
 
 def last_touch_credit(act: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
@@ -53,14 +59,18 @@ def last_touch_credit(act: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
 
     days = (
         seconds.groupBy(*keys, "day")
-        .agg(F.max_by("touch", F.when(F.col("touch").isNotNull(), F.col("ts"))).alias("touch"))
-        .select(*keys, "day", F.last("touch", ignorenulls=True).over(earlier_days).alias("carried"))
+        .agg(
+            F.max_by("touch", F.when(F.col("touch").isNotNull(), F.col("ts"))).alias("touch"),
+            F.count("revenue").alias("_bought"),
+        )
+        .select(*keys, "day", "_bought", F.last("touch", ignorenulls=True).over(earlier_days).alias("carried"))
+        .where(F.col("_bought") > 0)
     )
     bought = seconds.withColumn("today", F.last("touch", ignorenulls=True).over(in_day)).where(
         F.col("revenue").isNotNull()
     )
     return (
-        bought.join(days, [*keys, "day"], "left")
+        bought.join(days, [*keys, "day"])
         .select(*keys, "ts", "revenue", F.coalesce("today", "carried").alias("touch"))
         .where(F.col("touch").isNotNull())
         .select(
@@ -107,7 +117,9 @@ def _running(rows: DataFrame, keys: Sequence[str], value: Column, fade: float, a
     )
 
 
-def time_decay_credit(act: DataFrame, half_life: int, scope: Sequence[str] = ()) -> DataFrame:
+def time_decay_credit(
+    act: DataFrame, half_life: int, scope: Sequence[str] = (), stage: Callable[[DataFrame], DataFrame] = unstaged
+) -> DataFrame:
     """Split each purchase over the touches at or before it, halving per ``half_life`` seconds of age.
 
     Weights are normalised per purchase, so only the ages relative to the last
@@ -120,6 +132,8 @@ def time_decay_credit(act: DataFrame, half_life: int, scope: Sequence[str] = ())
     every touch at t earns S(t).  Both sums are running totals, so no
     touch-purchase pairs are ever formed.  They are taken relative to the start
     of a stretch, which keeps the powers in range however long the history is.
+
+    ``stage`` is applied to the small per-second tables that are read twice.
     """
     keys = keyed(scope)
     stretch = max(STRETCH * half_life, DAY)
@@ -127,7 +141,7 @@ def time_decay_credit(act: DataFrame, half_life: int, scope: Sequence[str] = ())
     x = (F.col("ts") - F.col("stretch") * F.lit(stretch)) / F.lit(float(half_life))
     up, down = F.pow(F.lit(2.0), x), F.pow(F.lit(2.0), -x)
 
-    counts = (
+    counts = stage(
         act.where(is_touch() & F.col("ts").isNotNull())
         .withColumn(SALT, salt_of(F.col("domain"), F.col("keyword")))
         .groupBy(*keys, "ts", SALT, "domain", "keyword")
@@ -139,13 +153,15 @@ def time_decay_credit(act: DataFrame, half_life: int, scope: Sequence[str] = ())
         .groupBy(*keys, F.col("touch_ts").alias("ts"))
         .agg(F.sum("revenue").cast("double").alias("moved"))
     )
-    line = (
+    line = stage(
         touched.join(moved, [*keys, "ts"], "left")
         .withColumn("moved", F.coalesce("moved", F.lit(0.0)))
         .withColumn("stretch", F.expr(f"ts div {stretch}"))
     )
-    line = _running(line, keys, F.col("touches") * up, fade, ahead=False).withColumn(
-        "_share", F.col("moved") / (F.col("running") * down)
+    line = stage(
+        _running(line, keys, F.col("touches") * up, fade, ahead=False)
+        .withColumn("_share", F.col("moved") / (F.col("running") * down))
+        .drop("running")
     )
     line = _running(line, keys, F.col("_share") * down, fade, ahead=True).select(
         *keys, "ts", SALT_SET, (F.col("running") * up).alias("per_touch")

@@ -37,7 +37,7 @@ from clicktrail.operators.quality import (
 )
 from clicktrail.plans.reports import report_of, sem_insights
 from clicktrail.rules import Rules
-from clicktrail.session import new_path
+from clicktrail.session import Staging
 from clicktrail.sinks import files, outputs
 
 
@@ -119,9 +119,9 @@ def run_batch(
         "git_commit": os.environ.get("GIT_COMMIT", "local"),
         "attribution_model": rules.attribution_model,
     }
-    staging = new_path(spark, "activity")
+    stage = Staging(spark, "run")
     try:
-        summary = _checked_run(spark, hits, out, rules, run, staging, lineage)
+        summary = _checked_run(spark, hits, out, rules, run, stage, lineage)
         lineage["status"] = "SUCCESS"
         return summary | {"duration_seconds": lineage.setdefault("duration_seconds", round(time.monotonic() - started, 2))}
     except Exception as exc:
@@ -131,10 +131,12 @@ def run_batch(
         lineage.setdefault("duration_seconds", round(time.monotonic() - started, 2))
         # Last of all, so the record tells what really happened.
         outputs.write_lineage(spark, lineage, f"{out}/lineage")
-        files.delete(spark, staging)
+        files.delete(spark, stage.folder)
 
 
-def _checked_run(spark, hits, out, rules, run, staging, lineage) -> dict:
+def _checked_run(
+    spark: SparkSession, hits: DataFrame, out: str, rules: Rules, run: Run, stage: Staging, lineage: dict
+) -> dict:
     report = {
         "run_id": run.run_id,
         "execution_date": run.when.isoformat(),
@@ -203,7 +205,7 @@ def _checked_run(spark, hits, out, rules, run, staging, lineage) -> dict:
             f"{facts['null_failed']} row(s) have no value in critical columns {list(rules.critical_columns)}"
         )
 
-    act, clean = staged_activity(hits, rules, staging)
+    act, clean = staged_activity(hits, rules, f"{stage.folder}/activity")
     rows_out = clean.count()
     before = rows_in - failed
     duplicates = before - rows_out
@@ -217,7 +219,7 @@ def _checked_run(spark, hits, out, rules, run, staging, lineage) -> dict:
         store_errors(rejects)
 
     target = outputs.day_folder(f"{out}/processed", run.when, run.phase)
-    output_file, output_rows = outputs.write_keyword_report(report_of(act, rules), target, run.when, rules)
+    output_file, output_rows = outputs.write_keyword_report(report_of(act, rules, stage=stage), target, run.when, rules)
     store_quality()
     lineage |= {"output_file": output_file, "output_rows": output_rows}
     return {

@@ -8,7 +8,7 @@ look only at touches at or before the purchase.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -19,6 +19,7 @@ from clicktrail.operators.sessions import attribute_purchases, session_summary
 from clicktrail.operators.spread import SALT, join_spread, salt_of, salt_set
 from clicktrail.operators.timeline import CREDIT, last_touch_credit, time_decay_credit
 from clicktrail.rules import MODELS, Rules
+from clicktrail.session import unstaged
 
 
 def first_touch_credit(act: DataFrame, rules: Rules, scope: Sequence[str] = ()) -> DataFrame:
@@ -47,8 +48,18 @@ def linear_credit(act: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
     return join_spread(counts, totals, keys).select(*keys, "domain", "keyword", share.cast(CREDIT).alias("revenue"))
 
 
-def credit(act: DataFrame, rules: Rules, scope: Sequence[str] = (), model: str | None = None) -> DataFrame:
-    """Credit rows of one model, by default the one the rules name."""
+def credit(
+    act: DataFrame,
+    rules: Rules,
+    scope: Sequence[str] = (),
+    model: str | None = None,
+    stage: Callable[[DataFrame], DataFrame] = unstaged,
+) -> DataFrame:
+    """Credit rows of one model, by default the one the rules name.
+
+    ``first_touch`` and ``last_touch`` read the activity once; ``linear`` reads
+    it twice and ``time_decay`` twice, plus its own per-second tables.
+    """
     model = model or rules.attribution_model
     if model == "first_touch":
         return first_touch_credit(act, rules, scope)
@@ -57,7 +68,7 @@ def credit(act: DataFrame, rules: Rules, scope: Sequence[str] = (), model: str |
     if model == "linear":
         return linear_credit(act, scope)
     if model == "time_decay":
-        return time_decay_credit(act, rules.half_life_seconds, scope)
+        return time_decay_credit(act, rules.half_life_seconds, scope, stage)
     raise ValueError(f"unknown attribution model {model!r}")
 
 
@@ -70,10 +81,17 @@ def keyword_revenue(credits: DataFrame, rules: Rules, scope: Sequence[str] = ())
     )
 
 
-def compare_models(act: DataFrame, rules: Rules, scope: Sequence[str] = (), models: Sequence[str] = MODELS) -> DataFrame:
+def compare_models(
+    act: DataFrame,
+    rules: Rules,
+    scope: Sequence[str] = (),
+    models: Sequence[str] = MODELS,
+    stage: Callable[[DataFrame], DataFrame] = unstaged,
+) -> DataFrame:
     """One row per keyword with one revenue column per model (0 where a model gives it nothing)."""
     parts = [
-        keyword_revenue(credit(act, rules, scope, m), rules, scope).withColumn("model", F.lit(m)) for m in models
+        keyword_revenue(credit(act, rules, scope, m, stage), rules, scope).withColumn("model", F.lit(m))
+        for m in models
     ]
     stacked = reduce(DataFrame.unionByName, parts)
     per_model = [

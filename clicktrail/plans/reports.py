@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +12,7 @@ from clicktrail.operators.activity import activity, is_touch, keyed, touch_order
 from clicktrail.operators.sessions import first_touch, session_summary
 from clicktrail.plans.models import credit, keyword_revenue
 from clicktrail.rules import Rules
+from clicktrail.session import unstaged
 
 
 def named_report(revenue: DataFrame, rules: Rules, scope: Sequence[str] = ()) -> DataFrame:
@@ -26,17 +27,33 @@ def named_report(revenue: DataFrame, rules: Rules, scope: Sequence[str] = ()) ->
     )
 
 
-def report_of(act: DataFrame, rules: Rules, scope: Sequence[str] = (), model: str | None = None) -> DataFrame:
-    return named_report(keyword_revenue(credit(act, rules, scope, model), rules, scope), rules, scope)
+def report_of(
+    act: DataFrame,
+    rules: Rules,
+    scope: Sequence[str] = (),
+    model: str | None = None,
+    stage: Callable[[DataFrame], DataFrame] = unstaged,
+) -> DataFrame:
+    return named_report(keyword_revenue(credit(act, rules, scope, model, stage), rules, scope), rules, scope)
 
 
-def keyword_report(hits: DataFrame, rules: Rules = Rules(), scope: Sequence[str] = (), model: str | None = None) -> DataFrame:
+def keyword_report(
+    hits: DataFrame,
+    rules: Rules = Rules(),
+    scope: Sequence[str] = (),
+    model: str | None = None,
+    stage: Callable[[DataFrame], DataFrame] = unstaged,
+) -> DataFrame:
     """Revenue by search domain and keyword, best first.
 
     With the default model: one scan, one map-side combined aggregation per
-    session, one per keyword, one sort of the report.
+    session, one per keyword, one sort of the report.  Models that read the
+    activity more than once parse the hits only once if given a ``stage``.
     """
-    return report_of(activity(hits, rules, scope), rules, scope, model)
+    act = activity(hits, rules, scope)
+    if (model or rules.attribution_model) in ("linear", "time_decay"):
+        act = stage(act)
+    return report_of(act, rules, scope, model, stage)
 
 
 def report_as_text(report: DataFrame, rules: Rules) -> DataFrame:

@@ -13,6 +13,8 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 def build_session(name: str = "clicktrail", master: str | None = None, **conf: str) -> SparkSession:
     """A session with adaptive execution on; sizes are left to the cluster's own settings."""
     builder = SparkSession.builder.appName(name).config("spark.sql.adaptive.enabled", "true")
+    # Recording the Python call site of every column makes building a plan several times slower.
+    builder = builder.config("spark.python.sql.dataFrameDebugging.enabled", "false")
     if master:
         builder = builder.master(master)
     for key, value in conf.items():
@@ -44,3 +46,24 @@ def written(df: DataFrame, path: str) -> DataFrame:
     """Write a table and read it back: later steps restart from files, not from the raw input."""
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Staging:
+    """A folder of intermediate tables in shared storage; call it to stage a table.
+
+    Plans that read an intermediate result several times use it so that the
+    steps before run once and survive lost executors.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.folder = new_path(spark, name)
+        self.tables = 0
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        self.tables += 1
+        return written(df, f"{self.folder}/{self.tables}")
+
+
+def unstaged(df: DataFrame) -> DataFrame:
+    """The default instead of a :class:`Staging`: leave the plan in one piece."""
+    return df

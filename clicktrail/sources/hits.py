@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
-from clicktrail.functions.paths import name_timestamp
 from clicktrail.functions.text import without_cr
 from clicktrail.rules import Rules
 
@@ -41,13 +40,14 @@ def read_hits(
 def positioned(raw: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Clean text columns of a file scan and record where each row came from.
 
-    Within a file rows are ordered by block and row; files are ordered by the
-    timestamp in their name, and files without one in an arbitrary but fixed
-    order.  Four numbers per row, instead of a path, go through the shuffles.
+    Within a file rows are ordered by block and row; files go by name, which
+    for names with a timestamp is the order of delivery.  Everything but the
+    row number is constant per block, so it costs no work per row and
+    compresses away in shuffles.
     """
     path = F.col("_metadata.file_path")
     position = F.struct(
-        name_timestamp(path).alias("file_time"),
+        F.col("_metadata.file_name").alias("file_name"),
         F.xxhash64(path).alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),

@@ -22,7 +22,7 @@ from clicktrail.operators.quality import has_null_critical, is_valid, masked_err
 from clicktrail.plans.batch import staged_activity
 from clicktrail.plans.models import credit, keyword_revenue
 from clicktrail.rules import Rules
-from clicktrail.session import new_path
+from clicktrail.session import Staging
 from clicktrail.sinks import files, outputs
 from clicktrail.sources.hits import positioned, reader
 from clicktrail.sources.manifest import delivery_facts, judged, relative_key
@@ -172,20 +172,20 @@ class Intake:
         names = [f"{phase}/{name}" for phase, name in sorted(taken)]
         good = hits.where(F.concat_ws("/", *FILE_KEY).isin(names))
 
-        staging = new_path(self.spark, "intake")
-        act, clean = staged_activity(good, rules, staging, scope)
-        self._write_revenue(act, batch_id, when)
+        stage = Staging(self.spark, "intake")
+        act, clean = staged_activity(good, rules, f"{stage.folder}/activity", scope)
+        self._write_revenue(act, stage, batch_id, when)
         counts = clean.groupBy(*scope).count().collect()  # one row per file
         rows_out = {tuple(r[c] for c in scope): r["count"] for r in counts}
         expected = sum(facts[k]["rows_in"] - facts[k]["rows_failed"] for k in taken if k in facts)
         if expected != sum(rows_out.values()) or any(f["rows_failed"] for f in facts.values()):
             self._write_errors(hits, good, batch_id, when)
         self._write_lineage(entries, facts, rows_out, batch_id, when)
-        files.delete(self.spark, staging)
+        files.delete(self.spark, stage.folder)
 
-    def _write_revenue(self, act: DataFrame, batch_id: int, when: datetime) -> None:
+    def _write_revenue(self, act: DataFrame, stage: Staging, batch_id: int, when: datetime) -> None:
         rules, scope = self.rules, self.scope
-        revenue = keyword_revenue(credit(act, rules, scope), rules, scope)
+        revenue = keyword_revenue(credit(act, rules, scope, stage=stage), rules, scope)
         ranked = revenue.orderBy(*scope, F.col("revenue").desc(), "domain", "keyword").withColumn(
             "revenue", F.col("revenue").cast("double")
         )
