@@ -286,7 +286,8 @@ def dq_dup_rejects(spark, sf_dir):
 
 @query
 def dq_errors(spark, sf_dir):
-    return _flat(quality.masked_errors(quality.error_rows(_dirty(spark, sf_dir), TYPED), TYPED))
+    errors = quality.error_rows(_dirty(spark, sf_dir), TYPED)
+    return _flat(quality.masked_errors(errors, TYPED))
 
 
 @query
@@ -330,18 +331,21 @@ def first_touch(spark, sf_dir):
 
 @query
 def attribute_revenue(spark, sf_dir):
-    return _money(_event(sessions.attribute_purchases(_activity(spark, sf_dir), RULES)), "revenue")
+    act = Staging(spark, "activity")(_activity(spark, sf_dir))
+    return _money(_event(sessions.attribute_purchases(act, RULES)), "revenue")
 
 
 @query
 def attribute_revenue_prior_only(spark, sf_dir):
     rules = RULES.but(require_prior_touch=True)
-    return _money(_event(sessions.attribute_purchases(_activity(spark, sf_dir), rules)), "revenue")
+    act = Staging(spark, "activity")(_activity(spark, sf_dir))
+    return _money(_event(sessions.attribute_purchases(act, rules)), "revenue")
 
 
 @query
 def unattributed_purchases(spark, sf_dir):
-    return _money(_event(sessions.unattributed_purchases(_activity(spark, sf_dir))), "revenue")
+    act = Staging(spark, "activity")(_activity(spark, sf_dir))
+    return _money(_event(sessions.unattributed_purchases(act)), "revenue")
 
 
 @query

@@ -1,25 +1,34 @@
 """Duplicate hits: keep the first of each key, in arrival order.
 
 A key may have any number of copies, so copies are never brought together as
-rows.  Keys are aggregated (map-side combined) to their first position; only
-keys that occur more than once go into a join back to the rows, spread by salt
-so that the copies of one key are split over many tasks.  When duplicates are
-few, adaptive execution sees how small that side is and broadcasts it, and the
-wide rows are not shuffled at all.
+rows.  Keys are aggregated (map-side combined) to their first position and
+their number of copies, and only keys with more than one copy are joined back
+to the rows, in two steps:
+
+* keys that hold more than 1/``HOT_KEYS`` of all copies - so fewer than
+  ``HOT_KEYS`` keys, however large the data - are broadcast;
+* all other keys are joined normally; rows decided by the first step take part
+  under a scattered hash, so that they stay spread out.
+
+When duplicates are few, the second step is small as well, adaptive execution
+broadcasts it, and the wide rows are not shuffled at all.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clicktrail.functions.text import stripped
-from clicktrail.operators.spread import SALT, join_spread, salt_of, salt_set
 from clicktrail.rules import Rules
+from clicktrail.session import Staging
+
+HOT_KEYS = 10_000
+_HASH = "_key_hash"
 
-_FIRST = "_first_pos"
+Stage = Callable[[DataFrame], DataFrame]
 
 
 def dedup_key(hits: DataFrame, rules: Rules) -> list[Column]:
@@ -32,25 +41,40 @@ def _key_names(hits: DataFrame, rules: Rules) -> list[str]:
     return [f"_key_{c}" for c in rules.dedup_key_columns if c in hits.columns]
 
 
-def _repeated_keys(hits: DataFrame, rules: Rules, scope: Sequence[str]) -> DataFrame:
-    return (
-        hits.select(*scope, *dedup_key(hits, rules), "pos", salt_of(F.col("pos")).alias(SALT))
-        .groupBy(*scope, *_key_names(hits, rules))
-        .agg(F.min("pos").alias(_FIRST), F.count(F.lit(1)).alias("_copies"), salt_set(F.col(SALT)))
-        .where(F.col("_copies") > 1)
-        .drop("_copies")
-    )
+def _with_key(hits: DataFrame, rules: Rules, scope: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Rows with their key; a hash comes first, so that sorts mostly compare numbers."""
+    names = _key_names(hits, rules)
+    keyed = hits.select("*", *dedup_key(hits, rules))
+    return keyed.withColumn(_HASH, F.xxhash64(*scope, *names)), [_HASH, *scope, *names]
 
 
-def _marked(hits: DataFrame, rules: Rules, scope: Sequence[str], how: str) -> DataFrame:
-    rows = hits.select("*", *dedup_key(hits, rules), salt_of(F.col("pos")).alias(SALT))
-    return join_spread(rows, _repeated_keys(hits, rules, scope), [*scope, *_key_names(hits, rules)], how)
+def _marked(hits: DataFrame, rules: Rules, scope: Sequence[str], stage: Stage | None) -> DataFrame:
+    """All rows, with ``_first_pos``: the first position of their key if it has several copies, else NULL.
+
+    The table of repeated keys is read several times, so it is staged.
+    """
+    stage = stage or Staging(hits.sparkSession, "repeated-keys")
+    rows, keys = _with_key(hits, rules, scope)
+    repeated = stage(
+        rows.groupBy(*keys).agg(F.min("pos").alias("_first"), F.count(F.lit(1)).alias("_copies")).where(F.col("_copies") > 1)
+    )
+    is_hot = F.col("_copies") * HOT_KEYS > repeated.agg(F.sum("_copies")).scalar()
+    hot = repeated.where(is_hot).select(*keys, F.col("_first").alias("_hot_first"))
+    others = repeated.where(~is_hot).select(*keys, "_first")
+    # The hash is one of the join keys: replacing it keeps decided rows apart from each other.
+    scattered = F.when(F.col("_hot_first").isNotNull(), F.xxhash64("pos")).otherwise(F.col(_HASH))
+    return (
+        rows.join(F.broadcast(hot), keys, "left")
+        .withColumn(_HASH, scattered)
+        .join(others, keys, "left")
+        .withColumn("_first_pos", F.coalesce("_hot_first", "_first"))
+    )
 
 
-def keep_first(hits: DataFrame, rules: Rules, scope: Sequence[str] = ()) -> DataFrame:
+def keep_first(hits: DataFrame, rules: Rules, scope: Sequence[str] = (), stage: Stage | None = None) -> DataFrame:
     """The first hit of every key, whole."""
-    rows = _marked(hits, rules, scope, "left")
-    return rows.where(F.col(_FIRST).isNull() | (F.col(_FIRST) == F.col("pos"))).select(*hits.columns)
+    rows = _marked(hits, rules, scope, stage)
+    return rows.where(F.col("_first_pos").isNull() | (F.col("_first_pos") == F.col("pos"))).select(*hits.columns)
 
 
 def keep_any(hits: DataFrame, rules: Rules) -> DataFrame:
@@ -59,7 +83,7 @@ def keep_any(hits: DataFrame, rules: Rules) -> DataFrame:
     return keyed.dropDuplicates(_key_names(hits, rules)).select(*hits.columns)
 
 
-def duplicate_rejects(hits: DataFrame, rules: Rules, scope: Sequence[str] = ()) -> DataFrame:
+def duplicate_rejects(hits: DataFrame, rules: Rules, scope: Sequence[str] = (), stage: Stage | None = None) -> DataFrame:
     """All later copies, with the key they repeat."""
     names = _key_names(hits, rules)
     parts: list[Column] = [F.lit("duplicate_row: key=('")]
@@ -67,7 +91,7 @@ def duplicate_rejects(hits: DataFrame, rules: Rules, scope: Sequence[str] = ())
         parts += [F.lit("', '")] if i else []
         parts.append(F.col(name))
     reason = F.concat(*parts, F.lit("',)" if len(names) == 1 else "')"))
-    rows = _marked(hits, rules, scope, "inner").where(F.col(_FIRST) != F.col("pos"))
+    rows = _marked(hits, rules, scope, stage).where(F.col("_first_pos") != F.col("pos"))
     return rows.select(*hits.columns, reason.alias("_error_reason"))
 
 
@@ -87,7 +111,7 @@ def first_of_each(rows: DataFrame, keys: Sequence[str], keep: Sequence[str] = ()
     """
     values = [c for c in rows.columns if c not in keys]
     return (
-        rows.groupBy(*keys)
+        rows.groupBy(F.xxhash64(*keys).alias(_HASH), *keys)
         .agg(F.min_by(F.struct(*values), F.col("pos")).alias("_row"))
         .select(*keep, *[F.col(f"_row.{c}").alias(c) for c in values])
     )

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clicktrail.functions.text import is_blank, masked
-from clicktrail.operators.dedup import dedup_key, duplicate_rejects
+from clicktrail.operators.dedup import Stage, dedup_key, duplicate_rejects
 from clicktrail.rules import Rules
 
 REASON = "_error_reason"
@@ -185,10 +185,10 @@ def row_rejects(hits: DataFrame, rules: Rules) -> DataFrame:
     return _with_reasons(hits.where(~is_valid(rules, hits.columns)), reasons)
 
 
-def error_rows(hits: DataFrame, rules: Rules, scope: Sequence[str] = ()) -> DataFrame:
+def error_rows(hits: DataFrame, rules: Rules, scope: Sequence[str] = (), stage: Stage | None = None) -> DataFrame:
     """All rejects: blank critical columns, bad types (if the rules reject them), duplicates."""
     valid = hits.where(is_valid(rules, hits.columns))
-    return row_rejects(hits, rules).unionByName(duplicate_rejects(valid, rules, scope))
+    return row_rejects(hits, rules).unionByName(duplicate_rejects(valid, rules, scope, stage))
 
 
 def masked_errors(errors: DataFrame, rules: Rules) -> DataFrame:

@@ -214,7 +214,7 @@ def _checked_run(
     )
     report |= {"rows_out": rows_out, "error_count": reasons + duplicates}
     if duplicates:
-        rejects = rejects.unionByName(duplicate_rejects(hits.where(is_valid(rules, hits.columns)), rules))
+        rejects = rejects.unionByName(duplicate_rejects(hits.where(is_valid(rules, hits.columns)), rules, stage=stage))
     if failed or duplicates:
         store_errors(rejects)
 

@@ -178,7 +178,7 @@ def reconcile_clicks(billed: DataFrame, act: DataFrame) -> DataFrame:
 
     Both sides are one row per keyword before they meet.
     """
-    recorded = keyword_clicks(act).join(keyword_sessions(act), ["domain", "keyword"], "left")
+    recorded = _keyword_funnel(act, ()).select("domain", "keyword", "clicks", "sessions")
     invoice = billed.groupBy("domain", "keyword").agg(F.sum("billed_clicks").alias("billed_clicks"))
     count = {c: F.coalesce(F.col(c), F.lit(0)) for c in ("billed_clicks", "clicks", "sessions")}
     return invoice.join(recorded, ["domain", "keyword"], "full_outer").select(

@@ -179,7 +179,7 @@ class Intake:
         rows_out = {tuple(r[c] for c in scope): r["count"] for r in counts}
         expected = sum(facts[k]["rows_in"] - facts[k]["rows_failed"] for k in taken if k in facts)
         if expected != sum(rows_out.values()) or any(f["rows_failed"] for f in facts.values()):
-            self._write_errors(hits, good, batch_id, when)
+            self._write_errors(hits, good, stage, batch_id, when)
         self._write_lineage(entries, facts, rows_out, batch_id, when)
         files.delete(self.spark, stage.folder)
 
@@ -193,9 +193,9 @@ class Intake:
         partitions = ["phase", "year", "month", "day", "file_name"] if scope else ["year", "month", "day", "batch_id"]
         outputs.write_partitioned(dated, f"{self.out}/processed", partitions)
 
-    def _write_errors(self, hits: DataFrame, good: DataFrame, batch_id: int, when: datetime) -> None:
+    def _write_errors(self, hits: DataFrame, good: DataFrame, stage: Staging, batch_id: int, when: datetime) -> None:
         valid = good.where(is_valid(self.rules, good.columns))
-        errors = row_rejects(hits, self.rules).unionByName(duplicate_rejects(valid, self.rules, self.scope))
+        errors = row_rejects(hits, self.rules).unionByName(duplicate_rejects(valid, self.rules, self.scope, stage))
         flat = masked_errors(errors, self.rules).drop("pos", "source_file")
         dated = outputs.with_day(flat, when).withColumn("batch_id", F.lit(batch_id))
         outputs.write_partitioned(dated, f"{self.out}/dq-errors", ["year", "month", "day", "batch_id"], "csv", header=True)

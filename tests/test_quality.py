@@ -62,8 +62,9 @@ COPIES = [
 ]
 
 
-@pytest.mark.parametrize("partitions", [1, 4])
-def test_first_copy_survives(spark, partitions):
+@pytest.mark.parametrize("partitions, hot_keys", [(1, 10_000), (4, 10_000), (4, 1), (3, 2)])
+def test_first_copy_survives(spark, monkeypatch, partitions, hot_keys):
+    monkeypatch.setattr(dedup, "HOT_KEYS", hot_keys)  # 1: no key is broadcast
     hits = frame(spark, COPIES, partitions)
     assert {r["pagename"] for r in dedup.keep_first(hits, RULES).collect()} == {"first", "other"}
     rejected = dedup.duplicate_rejects(hits, RULES).collect()
@@ -111,8 +112,9 @@ def messy(seed, n):
     ]
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_every_row_is_either_kept_or_rejected(spark, seed):
+@pytest.mark.parametrize("seed, hot_keys", [(0, 10_000), (1, 1), (2, 8)])
+def test_every_row_is_either_kept_or_rejected(spark, monkeypatch, seed, hot_keys):
+    monkeypatch.setattr(dedup, "HOT_KEYS", hot_keys)
     hits = frame(spark, messy(seed, 200), 4)
     valid = hits.where(quality.is_valid(RULES, hits.columns))
     kept = {r["pagename"] for r in dedup.keep_first(valid, RULES).collect()}
