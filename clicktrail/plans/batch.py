@@ -11,10 +11,12 @@ on shuffle stages, so a lost executor cannot inflate them.
 
 from __future__ import annotations
 
+import logging
 import os
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -41,6 +43,18 @@ from clicktrail.session import Staging
 from clicktrail.sinks import files, outputs
 
 
+log = logging.getLogger(__name__)
+
+
+@contextmanager
+def _not_fatal(what: str) -> Iterator[None]:
+    """A run goes on when evidence about it cannot be stored."""
+    try:
+        yield
+    except Exception as exc:  # noqa: BLE001
+        log.warning("could not store the %s: %s", what, str(exc).split("\n", 1)[0])
+
+
 @dataclass(frozen=True)
 class Run:
     """What identifies a run; fixed up front so that a repeat writes the same places."""
@@ -151,10 +165,12 @@ def _checked_run(
     def store_quality() -> None:
         report["overall_passed"] = all(c["passed"] for c in report["checks"])
         lineage["dq_passed"] = report["overall_passed"]
-        outputs.write_quality_report(spark, report, f"{out}/dq-reports", run.when, run.stem)
+        with _not_fatal("quality report"):
+            outputs.write_quality_report(spark, report, f"{out}/dq-reports", run.when, run.stem)
 
     def store_errors(errors: DataFrame) -> None:
-        outputs.write_errors(errors, f"{out}/dq-errors", run.when, run.stem, run.run_id, rules)
+        with _not_fatal("rejected rows"):
+            outputs.write_errors(errors, f"{out}/dq-errors", run.when, run.stem, run.run_id, rules)
 
     schema = check_schema(hits, rules)
     report["checks"].append(schema)
@@ -185,6 +201,8 @@ def _checked_run(
             "warnings": {c: pct for c, pct in rates.items() if pct > rules.null_warning_threshold_pct},
         }
     )
+    for c, pct in report["checks"][-1]["warnings"].items():
+        log.warning("column %s is blank in %s%% of %d rows", c, pct, rows_in)
     rejects = row_rejects(hits, rules)
     reasons = sum(facts.get(f"blank_{c}", 0) for c in rules.critical_columns)
     if rules.reject_type_errors:

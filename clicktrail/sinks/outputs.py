@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from clicktrail.operators.quality import masked_errors
 from clicktrail.plans.reports import report_as_text
 from clicktrail.rules import Rules
-from clicktrail.session import new_path, written
+from clicktrail.session import Staging
 from clicktrail.sinks import files
 
 # A report with at most this many rows is delivered as the single file users
@@ -77,16 +77,23 @@ def report_file_name(rules: Rules, when: datetime) -> str:
 
 
 def _publish(
-    df: DataFrame, target: str, order: list[Column], single_file_rows: int, decorate=lambda d: d, **options
+    df: DataFrame,
+    target: str,
+    order: list[Column],
+    single_file_rows: int,
+    decorate: Callable[[DataFrame], DataFrame] = lambda d: d,
+    skip_empty: bool = False,
+    **options,
 ) -> int:
     """Compute once into a staging table, then deliver it whole under ``target``."""
     spark = df.sparkSession
-    staging = new_path(spark, "report")
-    table = written(df, staging)
+    stage = Staging(spark, "report")
+    table = stage(df)
     rows = table.count()
-    how = files.publish_one_file if rows <= single_file_rows else files.publish_parts
-    how(decorate(table), target, order, **options)
-    files.delete(spark, staging)
+    if rows or not skip_empty:
+        how = files.publish_one_file if rows <= single_file_rows else files.publish_parts
+        how(decorate(table), target, order, **options)
+    files.delete(spark, stage.folder)
     return rows
 
 
@@ -106,11 +113,10 @@ def write_sem_report(
     report: DataFrame, folder: str, when: datetime, single_file_rows: int = MAX_SINGLE_FILE_ROWS
 ) -> tuple[str | None, int]:
     """The keyword funnel as CSV; no file when there is nothing to report."""
-    if report.isEmpty():
-        return None, 0
     target = f"{day_folder(folder, when, 'sem_insights')}/sem_insights_{when:%Y%m%d}.csv"
     order = [F.col("total_revenue").desc(), F.col("search_engine_domain"), F.col("search_keyword")]
-    return target, _publish(report, target, order, single_file_rows)
+    rows = _publish(report, target, order, single_file_rows, skip_empty=True)
+    return (target if rows else None), rows
 
 
 def with_day(df: DataFrame, when: datetime, phase: str | Column | None = None) -> DataFrame:
