@@ -8,6 +8,7 @@ import json
 from clicktrail.plans.batch import Run, run_batch, run_sem
 from clicktrail.rules import Rules
 from clicktrail.session import build_session
+from clicktrail.sinks import files
 from clicktrail.sources.hits import read_hits
 from clicktrail.streaming.intake import Intake
 
@@ -28,6 +29,7 @@ def main(argv: list[str] | None = None) -> int:
         job.add_argument("--local", action="store_true", help="run on this machine")
         if name == "report":
             job.add_argument("--phase", default="other", help="phase part of the output path")
+            job.add_argument("--archive-input", default=None, help="where to move the input after success")
         if name == "sem":
             job.add_argument("--run-id", default=None, help="run id written into every row")
         if name == "intake":
@@ -46,6 +48,8 @@ def main(argv: list[str] | None = None) -> int:
     hits = read_hits(spark, args.input, rules, args.delimiter)
     if args.job == "report":
         summary = run_batch(spark, hits, args.output, rules, Run(args.input, args.phase))
+        if args.archive_input:
+            files.move(spark, args.input, args.archive_input)
     else:
         run = Run(args.input, run_id=args.run_id) if args.run_id else Run(args.input)
         summary = run_sem(spark, hits, args.output, rules, run)

@@ -207,7 +207,9 @@ def _object_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(n % 6 == 2, F.lit("raw/phase/"))
         .otherwise(F.concat(F.lit("raw/phase"), n % 7, F.lit("/")))
     )
-    return _table(spark, sf_dir, "pages").select(F.concat(folder, name).alias("path"), "url")
+    # The generator stands for a scan: the path is a value, not an expression to copy around.
+    path = F.explode(F.array(F.concat(folder, name))).alias("path")
+    return _table(spark, sf_dir, "pages").select(path, "url")
 
 
 def _registry(deliveries: DataFrame) -> DataFrame:

@@ -35,8 +35,5 @@ def phase_label(key: Column) -> Column:
     lowered = F.lower(key)
     label = F.when(folder != "", folder)
     for phase, words in PHASE_WORDS:
-        found = lowered.contains(words[0])
-        for word in words[1:]:
-            found = found | lowered.contains(word)
-        label = label.when(found, F.lit(phase))
+        label = label.when(lowered.rlike("|".join(words)), F.lit(phase))
     return label.otherwise(F.lit("other"))

@@ -71,6 +71,13 @@ def test_file_order_survives_splitting(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_bytes_that_are_not_text_are_replaced(spark, tmp_path):
+    text = tab_text([hit(1, "a", name="caf?")]).encode().replace(b"caf?", b"caf\xff")
+    path = tmp_path / "h.tab"
+    path.write_bytes(text)
+    assert read_hits(spark, str(path)).first()["pagename"] == "caf\ufffd"
+
+
 def test_short_and_long_rows(spark, tmp_path):
     text = tab_text([hit(1, "a")]) + "2\tonly\n" + "3" + "\tx" * 20 + "\n"
     got = read_hits(spark, put(tmp_path / "h.tab", text)).orderBy("pos").collect()
@@ -231,6 +238,10 @@ def test_command_line(spark, tmp_path, capsys):
     config = '{"keyword_normalize_case": false}'
     assert main(["sem", "--input", path, "--output", str(tmp_path / "s"), "--run-id", "r", "--config-json", config]) == 0
     assert json.loads(capsys.readouterr().out)["output_rows"] == 4
+    copy = put(tmp_path / "once" / "hits.tab", tab_text(anchor_hits()))
+    kept = str(tmp_path / "kept" / "hits.tab")
+    assert main(["report", "--input", copy, "--output", str(tmp_path / "k"), "--archive-input", kept]) == 0
+    assert os.path.exists(kept) and not os.path.exists(copy) and capsys.readouterr()
     args = ["--input", str(tmp_path / "in"), "--output", str(tmp_path / "i"), "--checkpoint", str(tmp_path / "c")]
     assert main(["intake", *args]) == 0
     assert os.path.exists(tmp_path / "i" / "archive" / "phase1" / "hits_20260225_143000.tab")
