@@ -369,7 +369,7 @@ def invoice_reconcile(spark, sf_dir):
 def _revenue_of(spark, sf_dir, model: str) -> DataFrame:
     act = _activity(spark, sf_dir)
     stage = unstaged
-    if model in ("linear", "time_decay"):
+    if model in models.MULTI_PASS:
         stage = Staging(spark, model)
         act = stage(act)
     return _money(models.keyword_revenue(models.credit(act, RULES, model=model, stage=stage), RULES), "revenue")

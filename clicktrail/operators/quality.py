@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from clicktrail.functions.text import is_blank, masked
 from clicktrail.operators.dedup import Stage, dedup_key, duplicate_rejects
-from clicktrail.rules import Rules
+from clicktrail.rules import TYPE_NAMES, Rules
 
 REASON = "_error_reason"
 
@@ -61,15 +61,20 @@ def has_null_critical(rules: Rules, columns: Sequence[str]) -> Column:
     return failing
 
 
+def _typed(rules: Rules, columns: Sequence[str]) -> list[tuple[str, str]]:
+    """The columns that can have the wrong type, with their Spark types."""
+    declared = [(c, TYPE_NAMES.get(t, t)) for c, t in rules.column_dtypes if c in columns]
+    return [(c, t) for c, t in declared if t != "string"]
+
+
 def _type_error(column: str, dtype: str) -> Column:
     return ~is_blank(F.col(column)) & F.col(column).try_cast(dtype).isNull()
 
 
 def has_type_error(rules: Rules, columns: Sequence[str]) -> Column:
     failing = F.lit(False)
-    for c, dtype in rules.column_dtypes:
-        if c in columns:
-            failing = failing | _type_error(c, dtype)
+    for c, dtype in _typed(rules, columns):
+        failing = failing | _type_error(c, dtype)
     return failing
 
 
@@ -93,8 +98,7 @@ def _null_reasons(rules: Rules, columns: Sequence[str]) -> list[Column]:
 
 
 def _type_reasons(rules: Rules, columns: Sequence[str]) -> list[Column]:
-    typed = [(c, t) for c, t in rules.column_dtypes if c in columns]
-    return [F.when(_type_error(c, t), F.lit(f"type_error: {c}")) for c, t in typed]
+    return [F.when(_type_error(c, t), F.lit(f"type_error: {c}")) for c, t in _typed(rules, columns)]
 
 
 def null_rejects(hits: DataFrame, rules: Rules) -> DataFrame:
@@ -153,9 +157,8 @@ def summary(hits: DataFrame, rules: Rules) -> DataFrame:
     for c in rules.critical_columns:
         reasons = reasons + F.when(is_blank(F.col(c)), 1).otherwise(0)
     if rules.reject_type_errors:
-        for c, dtype in rules.column_dtypes:
-            if c in hits.columns:
-                reasons = reasons + F.when(_type_error(c, dtype), 1).otherwise(0)
+        for c, dtype in _typed(rules, hits.columns):
+            reasons = reasons + F.when(_type_error(c, dtype), 1).otherwise(0)
     counted = hits.agg(
         F.count(F.lit(1)).alias("rows_in"),
         F.count_if(has_null_critical(rules, hits.columns)).alias("null_failed"),

@@ -21,6 +21,9 @@ from clicktrail.operators.timeline import CREDIT, last_touch_credit, time_decay_
 from clicktrail.rules import MODELS, Rules
 from clicktrail.session import unstaged
 
+# Models that read the activity more than once.
+MULTI_PASS = ("linear", "time_decay")
+
 
 def first_touch_credit(act: DataFrame, rules: Rules, scope: Sequence[str] = ()) -> DataFrame:
     """All revenue of a session to its first touch: one aggregation, no join."""

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from clicktrail.functions.commerce import ratio, revenue_text
 from clicktrail.operators.activity import activity, is_touch, keyed, touch_order, touches
 from clicktrail.operators.sessions import first_touch, session_summary
-from clicktrail.plans.models import credit, keyword_revenue
+from clicktrail.plans.models import MULTI_PASS, credit, keyword_revenue
 from clicktrail.rules import Rules
-from clicktrail.session import unstaged
+from clicktrail.session import Staging, unstaged
 
 
 def named_report(revenue: DataFrame, rules: Rules, scope: Sequence[str] = ()) -> DataFrame:
@@ -42,18 +42,19 @@ def keyword_report(
     rules: Rules = Rules(),
     scope: Sequence[str] = (),
     model: str | None = None,
-    stage: Callable[[DataFrame], DataFrame] = unstaged,
+    stage: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Revenue by search domain and keyword, best first.
 
     With the default model: one scan, one map-side combined aggregation per
-    session, one per keyword, one sort of the report.  Models that read the
-    activity more than once parse the hits only once if given a ``stage``.
+    session, one per keyword, one sort of the report.  For models that read the
+    activity more than once it is staged first, so that hits are parsed once.
     """
     act = activity(hits, rules, scope)
-    if (model or rules.attribution_model) in ("linear", "time_decay"):
-        act = stage(act)
-    return report_of(act, rules, scope, model, stage)
+    if (model or rules.attribution_model) not in MULTI_PASS:
+        return report_of(act, rules, scope, model)
+    stage = stage or Staging(hits.sparkSession, "report")
+    return report_of(stage(act), rules, scope, model, stage)
 
 
 def report_as_text(report: DataFrame, rules: Rules) -> DataFrame:

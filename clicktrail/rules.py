@@ -44,6 +44,8 @@ SEM_COLUMNS = (
     "run_id",
 )
 REPORT_FILENAME = "{date}_SearchKeywordPerformance.tab"
+# Type names used in rule files, as Spark types; text is always valid text.
+TYPE_NAMES = {"int": "bigint", "float": "double", "datetime": "timestamp_ntz"}
 MODELS = ("first_touch", "last_touch", "linear", "time_decay")
 # --------------------------------------------------------------------------
 
@@ -55,8 +57,12 @@ class Rules:
     dedup_key_columns: tuple[str, ...] = ("hit_time_gmt", "ip", "page_url")
     pii_columns: tuple[str, ...] = ("ip", "user_agent")
     column_dtypes: tuple[tuple[str, str], ...] = (
-        ("hit_time_gmt", "bigint"),
-        ("date_time", "timestamp_ntz"),
+        ("hit_time_gmt", "int"),
+        ("date_time", "datetime"),
+        ("ip", "string"),
+        ("referrer", "string"),
+        ("event_list", "string"),
+        ("product_list", "string"),
     )
 
     search_engine_domains: tuple[str, ...] = SEARCH_DOMAINS

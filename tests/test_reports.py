@@ -157,6 +157,11 @@ def test_plans_have_no_python_and_one_scan(spark, tmp_path):
         assert "partial_min_by" in plan  # combined before the shuffle
 
 
+def test_report_by_another_model(spark):
+    for model in ("last_touch", "linear", "time_decay"):
+        assert rows_of(reports.keyword_report(frame(spark, anchor_hits()), model=model)) == ANCHOR_REPORT
+
+
 def test_credit_is_by_model_name(spark):
     act = activity(frame(spark, anchor_hits()), RULES)
     for model in ("first_touch", "last_touch", "linear", "time_decay"):

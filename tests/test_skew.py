@@ -78,3 +78,10 @@ def test_salts_repeat_the_single_side_only_as_needed(spark):
     joined = join_spread(many, one, ["k"])
     assert joined.count() == 1000 and joined.where("k = 'hot'").agg(F.max("n")).first()[0] == 900
     assert join_spread(many, one.where("k = 'hot'"), ["k"], "left_anti").count() == 100
+
+
+def test_last_touch_reads_its_input_once(spark, no_help, tmp_path):
+    frame(spark, nat_hits(5)).write.parquet(str(tmp_path / "h"))
+    act = activity(spark.read.parquet(str(tmp_path / "h")), RULES)
+    plan = credit(act, RULES, model="last_touch")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "ReusedExchange" in plan
