@@ -47,16 +47,13 @@ def product_field(product: Column, index: int, rules: Rules) -> Column:
 def product_revenue(product_list: Column, rules: Rules) -> Column:
     """Summed revenue of all products; missing or malformed amounts count as 0."""
     zero = F.lit(0).cast(TOTAL)
-    return F.coalesce(
-        F.aggregate(
-            products(product_list, rules),
-            zero,
-            lambda total, p: (
-                total + F.coalesce(amount(product_field(p, rules.revenue_col_index, rules)), F.lit(0))
-            ).cast(TOTAL),
-        ),
-        zero,
-    )
+
+    def price(product: Column) -> Column:
+        fields = F.split(product, literal_pattern(rules.product_attr_delimiter), -1)
+        return F.coalesce(amount(F.get(fields, F.lit(rules.revenue_col_index))), F.lit(0))
+
+    summed = F.aggregate(products(product_list, rules), zero, lambda total, p: (total + price(p)).cast(TOTAL))
+    return F.coalesce(summed, zero)
 
 
 def product_struct(product: Column, rules: Rules) -> Column:

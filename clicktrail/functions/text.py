@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,5 +45,6 @@ def masked(c: Column) -> Column:
 
 
 def literal_pattern(text: str) -> str:
-    """A Java regex that matches ``text`` and nothing else."""
-    return "\\Q" + text.replace("\\E", "\\E\\\\E\\Q") + "\\E"
+    """A regex that matches ``text`` and nothing else; one plain character stays
+    one, which ``split`` handles without a regex engine."""
+    return re.escape(text)
