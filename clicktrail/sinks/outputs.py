@@ -88,12 +88,14 @@ def _publish(
     """Compute once into a staging table, then deliver it whole under ``target``."""
     spark = df.sparkSession
     stage = Staging(spark, "report")
-    table = stage(df)
-    rows = table.count()
-    if rows or not skip_empty:
-        how = files.publish_one_file if rows <= single_file_rows else files.publish_parts
-        how(decorate(table), target, order, **options)
-    files.delete(spark, stage.folder)
+    try:
+        table = stage(df)
+        rows = table.count()
+        if rows or not skip_empty:
+            how = files.publish_one_file if rows <= single_file_rows else files.publish_parts
+            how(decorate(table), target, order, **options)
+    finally:
+        files.delete(spark, stage.folder)
     return rows
 
 
