@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clicktrail.functions.commerce import ratio, revenue_text
-from clicktrail.operators.activity import activity, is_touch, keyed, touch_order, touches
+from clicktrail.operators.activity import activity, is_touch, touch_order, touches
 from clicktrail.operators.sessions import first_touch, session_summary
 from clicktrail.plans.models import MULTI_PASS, credit, keyword_revenue
 from clicktrail.rules import Rules

@@ -175,25 +175,28 @@ class Intake:
         stage = Staging(self.spark, "intake")
         try:
             act, clean = staged_activity(good, rules, f"{stage.folder}/activity", scope)
-            self._write_revenue(act, stage, batch_id, when)
+            rows_reported = self._write_revenue(act, stage, batch_id, when)
             counts = clean.groupBy(*scope).count().collect()  # one row per file
             rows_out = {tuple(r[c] for c in scope): r["count"] for r in counts}
             expected = sum(facts[k]["rows_in"] - facts[k]["rows_failed"] for k in taken if k in facts)
             if expected != sum(rows_out.values()) or any(f["rows_failed"] for f in facts.values()):
                 self._write_errors(hits, good, stage, batch_id, when)
-            self._write_lineage(entries, facts, rows_out, batch_id, when)
+            self._write_lineage(entries, facts, rows_reported, batch_id, when)
         finally:
             files.delete(self.spark, stage.folder)
 
-    def _write_revenue(self, act: DataFrame, stage: Staging, batch_id: int, when: datetime) -> None:
+    def _write_revenue(self, act: DataFrame, stage: Staging, batch_id: int, when: datetime) -> dict[tuple, int]:
+        """Write the report; returns its rows per file."""
         rules, scope = self.rules, self.scope
-        revenue = keyword_revenue(credit(act, rules, scope, stage=stage), rules, scope)
+        revenue = stage(keyword_revenue(credit(act, rules, scope, stage=stage), rules, scope))
         ranked = revenue.orderBy(*scope, F.col("revenue").desc(), "domain", "keyword").withColumn(
             "revenue", F.col("revenue").cast("double")
         )
         dated = outputs.with_day(ranked, when).withColumn("batch_id", F.lit(batch_id))
         partitions = ["phase", "year", "month", "day", "file_name"] if scope else ["year", "month", "day", "batch_id"]
         outputs.write_partitioned(dated, f"{self.out}/processed", partitions)
+        counts = revenue.groupBy(*scope).count().collect()  # one row per file
+        return {tuple(r[c] for c in scope): r["count"] for r in counts}
 
     def _write_errors(self, hits: DataFrame, good: DataFrame, stage: Staging, batch_id: int, when: datetime) -> None:
         valid = good.where(is_valid(self.rules, good.columns))
@@ -202,7 +205,7 @@ class Intake:
         dated = outputs.with_day(flat, when).withColumn("batch_id", F.lit(batch_id))
         outputs.write_partitioned(dated, f"{self.out}/dq-errors", ["year", "month", "day", "batch_id"], "csv", header=True)
 
-    def _write_lineage(self, entries: list[dict], facts: dict, rows_out: dict, batch_id: int, when: datetime) -> None:
+    def _write_lineage(self, entries: list[dict], facts: dict, rows_reported: dict, batch_id: int, when: datetime) -> None:
         """One record per file."""
         records = []
         for e in entries:
@@ -217,7 +220,7 @@ class Intake:
                     "input_file": e["path"],
                     "input_rows": seen["rows_in"] if seen else 0,
                     "output_file": f"{self.out}/processed" if done else "",
-                    "output_rows": rows_out.get((e["phase"], e["file_name"]), 0) if self.scope else None,
+                    "output_rows": rows_reported.get((e["phase"], e["file_name"]) if self.scope else (), 0) if done else 0,
                     "engine_used": "pyspark",
                     "dq_passed": bool(done and seen and not seen["rows_failed"]),
                     "git_commit": os.environ.get("GIT_COMMIT", "local"),

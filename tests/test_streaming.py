@@ -62,6 +62,7 @@ def test_files_are_taken_in_once(spark, place):
     assert place.report() == ANCHORS | {("google.com", "new", 9.0)}
     lineage = spark.read.json(f"{place.out}/lineage")
     assert lineage.where("status = 'SUCCESS'").count() == 2
+    assert {(r["input_rows"], r["output_rows"]) for r in lineage.collect()} == {(21, 2), (2, 1)}
 
 
 def test_each_file_is_attributed_on_its_own(place):
