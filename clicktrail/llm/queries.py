@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clicktrail.llm import mixing, quality_rules, sharding
+from clicktrail.llm import bpe, mixing, pii, quality_model, quality_rules, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,8 +29,23 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(_table(spark, sf_dir, "documents"))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A calibrated quality score of every document."""
+    return quality_model.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as token ids and back."""
+    return bpe.digests(_table(spark, sf_dir, "documents"))
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every document."""
+    return pii.spans_of(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_mixing, op3_sharding, op4_quality_rules)}
+    return {f.__name__: f for f in (op2_mixing, op3_sharding, op4_quality_rules, op6_quality_classifier, op8_bpe, op9_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
