@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clicktrail.llm import bpe, mixing, pii, quality_model, quality_rules, sharding
+from clicktrail.llm import bpe, html_text, mixing, pii, quality_model, quality_rules, sharding, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents repeated to the target shares of their sources."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -44,8 +49,25 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.spans_of(_table(spark, sf_dir, "documents"))
 
 
+def op10_embedding_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of near equal embeddings of a label."""
+    return vectors.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_mixing, op3_sharding, op4_quality_rules, op6_quality_classifier, op8_bpe, op9_pii)}
+    return {
+        f.__name__: f
+        for f in (
+            op1_html_extraction,
+            op2_mixing,
+            op3_sharding,
+            op4_quality_rules,
+            op6_quality_classifier,
+            op8_bpe,
+            op9_pii,
+            op10_embedding_neighbours,
+        )
+    }
 
 
 def oracle_sql() -> dict[str, str]:
