@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clicktrail.llm import bpe, html_text, mixing, pii, quality_model, quality_rules, sharding, vectors
+from clicktrail.llm import bpe, html_text, jaccard, mixing, pii, quality_model, quality_rules, sharding, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(_table(spark, sf_dir, "documents"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents at 90 percent of common three-word shingles."""
+    return jaccard.similar_documents(_table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A calibrated quality score of every document."""
     return quality_model.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
@@ -62,6 +67,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op2_mixing,
             op3_sharding,
             op4_quality_rules,
+            op5_jaccard_join,
             op6_quality_classifier,
             op8_bpe,
             op9_pii,

@@ -12,7 +12,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return written(df, new_path(df.sparkSession, f"llm-{name}"))
 
 
-BROADCAST_ROWS = 50_000
+BROADCAST_ROWS = 200_000  # of a few numbers each: some MB
 
 
 def join_small(df: DataFrame, side: DataFrame, on, how: str = "left") -> DataFrame:
