@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clicktrail.llm import bpe, html_text, jaccard, mixing, pii, quality_model, quality_rules, sharding, vectors
+from clicktrail.llm import bpe, html_text, jaccard, mixing, passages, pii, quality_model, quality_rules, sharding, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +44,11 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 50-word passages of earlier ones."""
+    return passages.remove_repeats(_table(spark, sf_dir, "documents"), keep_text=False).drop("kept")
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as token ids and back."""
     return bpe.digests(_table(spark, sf_dir, "documents"))
@@ -69,6 +74,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op4_quality_rules,
             op5_jaccard_join,
             op6_quality_classifier,
+            op7_substring_dedup,
             op8_bpe,
             op9_pii,
             op10_embedding_neighbours,
