@@ -9,6 +9,7 @@ largest possible overlap is too small, or that are connected already.  What is l
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -27,7 +28,7 @@ BAND = 1.5  # ratio of the largest and the smallest set whose segments are cut a
 BITS = 4096
 LEAF = 8
 FANOUT = 4
-BLOCK_SHINGLES = 1 << 20  # of a cell, in one side of a comparison
+BLOCK_SHINGLES = 1 << 22  # of a cell, in one side of a comparison
 
 _KEY_A, _KEY_B = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 
@@ -63,8 +64,9 @@ def _edges(segments: int) -> np.ndarray:
 def segment_keys(shingles: np.ndarray, percent: int) -> np.ndarray:
     """A key for each segment of a set, in its band and, if it can be similar to a set of it, the band below.
 
-    For a link the sets differ in at most n * (100 - percent) / percent shingles, n being the size of the
-    smaller, which lies in the band that names the keys.
+    For a link the sets differ in at most d = n * (100 - percent) / percent shingles, n being the size of the
+    smaller, which lies in the band that names the keys.  Of d + 1 + spare segments more than ``spare`` are equal,
+    so a set with no more than ``spare`` segments that hold hardly anything can leave these out.
     """
     n = len(shingles)
     if not n:
@@ -78,10 +80,14 @@ def segment_keys(shingles: np.ndarray, percent: int) -> np.ndarray:
         if b < 0 or (b < band and percent * n > 100 * (int(low[b + 1]) - 1)):
             continue
         segments = (int(low[b + 1]) - 1) * (100 - percent) // percent + 1
+        spare = segments // 8 + 1
+        segments += spare
         at = np.concatenate(([0], np.searchsorted(shingles, _edges(segments)), [n]))
         content = sums[at[1:]] - sums[at[:-1]]
         place = np.arange(segments, dtype=np.uint64) + np.uint64((b << 40) + 1)
-        out.append(mix(content ^ mix(place * _KEY_B)))
+        keys = mix(content ^ mix(place * _KEY_B))
+        filled = np.diff(at) >= max(1, 100 // (100 - percent) // 3)
+        out.append(keys[filled] if segments - filled.sum() <= spare else keys)
     return np.concatenate(out)
 
 
@@ -243,6 +249,32 @@ def _compare(percent: int):
     return compare
 
 
+def _deal(sets: DataFrame, percent: int) -> DataFrame:
+    """cell, i, j, side and the set: each set in every comparison of its block with a block of its cell.
+
+    A cell that fits is one block.  A larger one has blocks by bands of size, in which links join neighbours at
+    most, and by a hash within a band.
+    """
+    width = math.log(100 / percent * 1.01)
+    total = sets.groupBy("cell").agg((F.sum("n") > BLOCK_SHINGLES).alias("large"))
+    rows = join_small(sets, staged(total, "large"), "cell", "inner")
+    rows = rows.withColumn("band", F.when(F.col("large"), F.floor(F.ln("n") / width)).otherwise(0).cast("long"))
+    blocks = staged(rows.groupBy("cell", "band").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("blocks")), "blocks")
+    beside = [blocks.select("cell", (F.col("band") + d).alias("band"), F.col("blocks").alias(name)) for d, name in ((1, "below"), (-1, "above"))]
+    blocks = staged(blocks.join(beside[0], ["cell", "band"], "left").join(beside[1], ["cell", "band"], "left").na.fill(0), "sides")
+    rows = join_small(rows, blocks, ["cell", "band"], "inner").withColumn("block", F.pmod(F.xxhash64("doc_id", "n"), "blocks"))
+    name = lambda band, block: f"({band}) * 1048576 + {block}"
+    parts = (
+        ("blocks", name("band", "least(block, x)"), name("band", "greatest(block, x)"), "cast(block > x as int)"),
+        ("below", name("band - 1", "x"), name("band", "block"), "1"),
+        ("above", name("band", "block"), name("band + 1", "x"), "0"),
+    )
+    lists = [
+        f"transform(filter(sequence(0, {n}), x -> x < {n}), x -> named_struct('i', {i}, 'j', {j}, 'side', {side}))" for n, i, j, side in parts
+    ]
+    return rows.withColumn("t", F.explode(F.expr(f"concat({', '.join(lists)})"))).select("cell", "t.i", "t.j", "t.side", "doc_id", "shingles")
+
+
 def similar_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, n_equal of every row of ``docs``; rows link at a Jaccard similarity of ``percent`` or more.
 
@@ -264,18 +296,7 @@ def similar_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCEN
 
     members = join_small(texts.where("doc_id is not null"), cells.select(F.col("node").alias("_node"), F.col("component").alias("cell")), F.col("doc_id") == F.col("_node"), "inner")
     sets = staged(members.select("cell", "doc_id", "text").mapInArrow(_sets(words), "cell long, doc_id long, n long, shingles binary"), "sets").where("n > 0")
-    blocks = staged(sets.groupBy("cell").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks")), "blocks")
-    block = F.pmod(F.hash("doc_id", "n"), F.col("blocks"))
-    dealt = join_small(sets, blocks, "cell", "inner").withColumn("block", block).withColumn("x", F.explode(F.expr("sequence(0, blocks - 1)")))
-    dealt = dealt.select(
-        "cell",
-        F.least("block", "x").alias("i"),
-        F.greatest("block", "x").alias("j"),
-        (F.col("block") > F.col("x")).cast("int").alias("side"),
-        "doc_id",
-        "shingles",
-    )
-    dealt = dealt.repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j")
+    dealt = _deal(sets, percent).repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j")
     links = dealt.mapInArrow(_compare(percent), "a long, b long")
     groups = components(links)
 
