@@ -7,7 +7,7 @@ delivered objects - file names.  All queries run over whole tables.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -172,14 +172,19 @@ def crlf_normalize(spark, sf_dir):
 def _hit_files(spark: SparkSession, hits: DataFrame, stem: str = "hits") -> str:
     """Write hits as tab-delimited files in arrival order, named as the contract asks."""
     folder = new_path(spark, "landing")
-    columns = hits.select(*HIT_COLUMNS)
-    columns.write.options(sep="\t", header=True, escape='"', emptyValue="").csv(f"{folder}/parts")
+    keep_blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    hits.select(*HIT_COLUMNS).write.options(sep="\t", header=True, escape='"', emptyValue="", **keep_blanks).csv(f"{folder}/parts")
     for i, part in enumerate(files.part_files(spark, f"{folder}/parts")):
-        stamp = f"20240131_{i // 3600:02d}{i // 60 % 60:02d}{i % 60:02d}"
-        files.move(spark, part, f"{folder}/raw/phase2/{stem}_{stamp}.tab")
+        stamp = datetime(2024, 1, 31) + timedelta(seconds=i)
+        files.move(spark, part, f"{folder}/raw/phase2/{stem}_{stamp:%Y%m%d_%H%M%S}.tab")
     return f"{folder}/raw"
 
 
+def _visitor_files(spark: SparkSession, sf_dir: str) -> str:
+    """Hit files that hold all hits of their visitors, so that files on their own give what all give together."""
+    return _hit_files(spark, _hits(spark, sf_dir).repartition("ip").sortWithinPartitions("pos"))
+
+
 @query
 def read_hit_files(spark, sf_dir):
     folder = _hit_files(spark, _hits(spark, sf_dir))
@@ -192,6 +197,20 @@ def keyword_report_from_files(spark, sf_dir):
     return reports.keyword_report(read_hits(spark, f"{folder}/phase2"))
 
 
+def _dirty_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_hits(spark, f"{_hit_files(spark, _dirty(spark, sf_dir).orderBy('pos'))}/phase2")
+
+
+@query
+def dedup_hits_from_files(spark, sf_dir):
+    return dedup.keep_first(_dirty_files(spark, sf_dir), RULES).select(*HIT_COLUMNS)
+
+
+@query
+def dq_dup_rejects_from_files(spark, sf_dir):
+    return dedup.duplicate_rejects(_dirty_files(spark, sf_dir), RULES).select(*HIT_COLUMNS, quality.REASON)
+
+
 def _object_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One delivered object per page, in the folder and name styles that occur."""
     n = F.col("page_id")
@@ -241,17 +260,57 @@ def intake_manifest(spark, sf_dir):
     return manifest.judged(deliveries, _registry(deliveries)).select("key", "phase", "file_name", "reason")
 
 
-@query
-def stream_intake(spark, sf_dir):
-    landing = _hit_files(spark, _hits(spark, sf_dir))
+def _taken_in(spark: SparkSession, sf_dir: str) -> str:
     out = new_path(spark, "intake-out")
-    intake = Intake(spark, landing, out, RULES, per_file=False, move_files=False)
+    intake = Intake(spark, _visitor_files(spark, sf_dir), out, RULES, move_files=False)
     intake.start(f"{out}/_checkpoint").awaitTermination()
-    schema = "domain string, keyword string, revenue double, year string, month string, day string, batch_id long"
-    written = spark.read.schema(schema).parquet(f"{out}/processed")
+    return out
+
+
+@query
+def stream_intake(spark, sf_dir):
+    schema = "domain string, keyword string, revenue double, phase string, year string, month string, day string, file_name string"
+    written = spark.read.schema(schema).parquet(f"{_taken_in(spark, sf_dir)}/processed")
     return written.groupBy("domain", "keyword").agg(F.round(F.sum("revenue"), 2).alias("revenue"))
 
 
+@query
+def intake_report_files(spark, sf_dir):
+    """The ranked text reports that people read, summed over files."""
+    domain, keyword, revenue = RULES.output_columns
+    schema = StructType([StructField(c, StringType()) for c in RULES.output_columns])
+    path = f"{_taken_in(spark, sf_dir)}/reports/phase=*/year=*/month=*/day=*/file_name=*/*_SearchKeywordPerformance.tab"
+    texts = spark.read.options(sep="\t", header=True).schema(schema).csv(path)
+    return texts.groupBy(F.col(f"`{domain}`").alias("domain"), F.coalesce(f"`{keyword}`", F.lit("")).alias("keyword")).agg(
+        F.sum(F.col(f"`{revenue}`").cast("decimal(38,2)")).cast("double").alias("revenue")
+    )
+
+
+@query
+def intake_quality_reports(spark, sf_dir):
+    reports_ = spark.read.schema(outputs.QUALITY_SCHEMA).json(f"{_taken_in(spark, sf_dir)}/dq-reports")
+    return reports_.agg(
+        F.min("overall_passed").alias("all_passed"), F.sum("rows_in").alias("rows_in"), F.sum("error_count").alias("error_count")
+    )
+
+
+@query
+def two_runs_one_day(spark, sf_dir):
+    """Reports of two inputs of one day, each with half of the visitors, side by side."""
+    out = new_path(spark, "runs")
+    keyword = RULES.output_columns[1]
+    schema = StructType([StructField(c, StringType()) for c in RULES.output_columns])
+    half = F.substring_index(F.trim("ip"), ".", -1).try_cast("int") % 2
+    found = []
+    for i in (0, 1):
+        run_batch(spark, _hits(spark, sf_dir).where(half == i), out, RULES, Run(f"half{i}.tab", "phase2", f"run-{i}", WHEN))
+    for i in (0, 1):
+        path = f"{out}/processed/phase2/year=2024/month=02/day=01/source=half{i}/2024-02-01_SearchKeywordPerformance.tab"
+        text = spark.read.options(sep="\t", header=True).schema(schema).csv(path)
+        found.append(text.withColumns({keyword: F.coalesce(F.col(f"`{keyword}`"), F.lit("")), "half": F.lit(i).cast("bigint")}))
+    return found[0].unionByName(found[1])
+
+
 # -- quality -----------------------------------------------------------------
 
 
@@ -429,7 +488,8 @@ def run_totals(spark, sf_dir):
 
 @query
 def shared_session_keys(spark, sf_dir):
-    return reports.shared_session_keys(_hits(spark, sf_dir))
+    padded = F.when(F.col("pos.event_id") % 7 == 0, F.concat(F.lit(" "), F.col("ip"), F.lit(" "))).otherwise(F.col("ip"))
+    return reports.shared_session_keys(_dirty(spark, sf_dir).withColumn("ip", padded))
 
 
 # -- reports -------------------------------------------------------------------

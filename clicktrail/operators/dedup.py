@@ -6,12 +6,14 @@ their number of copies, and only keys with more than one copy are joined back
 to the rows, in two steps:
 
 * keys that hold more than 1/``HOT_KEYS`` of all copies - so fewer than
-  ``HOT_KEYS`` keys, however large the data - are broadcast;
-* all other keys are joined normally; rows decided by the first step take part
-  under a scattered hash, so that they stay spread out.
-
-When duplicates are few, the second step is small as well, adaptive execution
-broadcasts it, and the wide rows are not shuffled at all.
+  ``HOT_KEYS`` keys, however large the data - are broadcast, as two hashes and
+  a position each;
+* all other keys are joined normally; rows decided by the first step stay out
+  of it or take part under a scattered hash, so that they stay spread out.
+
+Rejects come from inner joins, so rows without copies are not shuffled beyond
+what a Bloom filter lets through.  Positions are compared between two scans:
+hits of text files are staged with theirs first.
 """
 
 from __future__ import annotations
@@ -24,9 +26,11 @@ from pyspark.sql import functions as F
 from clicktrail.functions.text import stripped
 from clicktrail.rules import Rules
 from clicktrail.session import Staging
+from clicktrail.sources.hits import with_stored_positions
 
 HOT_KEYS = 10_000
 _HASH = "_key_hash"
+_HASHES = [_HASH, "_key_hash_2"]
 
 Stage = Callable[[DataFrame], DataFrame]
 
@@ -41,40 +45,36 @@ def _key_names(hits: DataFrame, rules: Rules) -> list[str]:
     return [f"_key_{c}" for c in rules.dedup_key_columns if c in hits.columns]
 
 
-def _with_key(hits: DataFrame, rules: Rules, scope: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    """Rows with their key; a hash comes first, so that sorts mostly compare numbers."""
+def _with_key(hits: DataFrame, rules: Rules, scope: Sequence[str]) -> DataFrame:
+    """Rows with their key, and two hashes of it that stand for the key in joins: together 128 bits."""
     names = _key_names(hits, rules)
     keyed = hits.select("*", *dedup_key(hits, rules))
-    return keyed.withColumn(_HASH, F.xxhash64(*scope, *names)), [_HASH, *scope, *names]
+    return keyed.withColumns({h: F.xxhash64(F.lit(i), *scope, *names) for i, h in enumerate(_HASHES)})
 
 
-def _marked(hits: DataFrame, rules: Rules, scope: Sequence[str], stage: Stage | None) -> DataFrame:
-    """All rows, with ``_first_pos``: the first position of their key if it has several copies, else NULL.
+def _repeated(hits: DataFrame, rules: Rules, scope: Sequence[str], stage: Stage | None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows with keys, the hot repeated keys, and the other repeated keys, both with ``_first`` position.
 
     The table of repeated keys is read several times, so it is staged.
     """
     stage = stage or Staging(hits.sparkSession, "repeated-keys")
-    rows, keys = _with_key(hits, rules, scope)
+    rows = _with_key(with_stored_positions(hits, stage), rules, scope)
     repeated = stage(
-        rows.groupBy(*keys).agg(F.min("pos").alias("_first"), F.count(F.lit(1)).alias("_copies")).where(F.col("_copies") > 1)
+        rows.groupBy(*_HASHES).agg(F.min("pos").alias("_first"), F.count(F.lit(1)).alias("_copies")).where(F.col("_copies") > 1)
     )
     is_hot = F.col("_copies") * HOT_KEYS > repeated.agg(F.sum("_copies")).scalar()
-    hot = repeated.where(is_hot).select(*keys, F.col("_first").alias("_hot_first"))
-    others = repeated.where(~is_hot).select(*keys, "_first")
-    # The hash is one of the join keys: replacing it keeps decided rows apart from each other.
-    scattered = F.when(F.col("_hot_first").isNotNull(), F.xxhash64("pos")).otherwise(F.col(_HASH))
-    return (
-        rows.join(F.broadcast(hot), keys, "left")
-        .withColumn(_HASH, scattered)
-        .join(others, keys, "left")
-        .withColumn("_first_pos", F.coalesce("_hot_first", "_first"))
-    )
+    return rows, repeated.where(is_hot).drop("_copies"), repeated.where(~is_hot).drop("_copies")
 
 
 def keep_first(hits: DataFrame, rules: Rules, scope: Sequence[str] = (), stage: Stage | None = None) -> DataFrame:
     """The first hit of every key, whole."""
-    rows = _marked(hits, rules, scope, stage)
-    return rows.where(F.col("_first_pos").isNull() | (F.col("_first_pos") == F.col("pos"))).select(*hits.columns)
+    rows, hot, others = _repeated(hits, rules, scope, stage)
+    hot = hot.withColumnRenamed("_first", "_hot_first")
+    # The hash is one of the join keys: replacing it keeps decided rows apart from each other.
+    scattered = F.when(F.col("_hot_first").isNotNull(), F.xxhash64("pos")).otherwise(F.col(_HASH))
+    marked = rows.join(F.broadcast(hot), _HASHES, "left").withColumn(_HASH, scattered).join(others, _HASHES, "left")
+    first = F.coalesce("_hot_first", "_first")
+    return marked.where(first.isNull() | (first == F.col("pos"))).select(*hits.columns)
 
 
 def keep_any(hits: DataFrame, rules: Rules) -> DataFrame:
@@ -91,8 +91,12 @@ def duplicate_rejects(hits: DataFrame, rules: Rules, scope: Sequence[str] = (),
         parts += [F.lit("', '")] if i else []
         parts.append(F.col(name))
     reason = F.concat(*parts, F.lit("',)" if len(names) == 1 else "')"))
-    rows = _marked(hits, rules, scope, stage).where(F.col("_first_pos") != F.col("pos"))
-    return rows.select(*hits.columns, reason.alias("_error_reason"))
+    rows, hot, others = _repeated(hits, rules, scope, stage)
+    of_hot = rows.join(F.broadcast(hot), _HASHES)
+    of_others = rows.join(F.broadcast(hot.drop("_first")), _HASHES, "left_anti").join(others, _HASHES)
+    later = F.col("_first") != F.col("pos")
+    # Copies of a hot key often arrive together; spread, they are masked and written by all tasks.
+    return of_hot.where(later).repartition(F.xxhash64("pos")).unionByName(of_others.where(later)).select(*hits.columns, reason.alias("_error_reason"))
 
 
 def duplicate_counts(hits: DataFrame, rules: Rules) -> DataFrame:

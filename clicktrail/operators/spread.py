@@ -2,10 +2,13 @@
 
 The "one" side has a single row per key.  It also carries the set of salts
 that occur for its key on the "many" side (a by-product of the aggregation
-that built it), so it is repeated only as often as needed: once for an
-ordinary key, up to ``SALTS`` times for a hot one.  The join then runs on
-(key, salt) and no task receives more than about 1/SALTS of a hot key.
+that built it), so it is repeated only as often as needed.  The join then runs
+on (key, salt) and no task receives more than about 1/SALTS of a hot key.
 Nothing is sampled or dropped, and it does not depend on adaptive execution.
+
+Where a key's rows could have as many salts as rows, only keys that hold more
+than 1/``HOT_KEYS`` of all rows are salted (:func:`hot_keys`): fewer than
+``HOT_KEYS`` keys, broadcast as hashes.  All others stay one row.
 """
 
 from __future__ import annotations
@@ -16,7 +19,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SALTS = 1 << 14
+HOT_KEYS = 10_000
 SALT = "_salt"
+HOT = "_hot"
 SALT_SET = "_salts"
 
 
@@ -29,6 +34,21 @@ def salt_set(salt: Column, where: Column | None = None) -> Column:
     return F.collect_set(salt if where is None else F.when(where, salt)).alias(SALT_SET)
 
 
+def hot_keys(one: DataFrame, on: Sequence[str], rows: str) -> DataFrame:
+    """Hashes of the keys that hold more than 1/``HOT_KEYS`` of the rows counted in column ``rows``.
+
+    ``one`` is read twice, so it should be staged.
+    """
+    total = one.agg(F.sum(rows)).scalar()
+    return one.where(F.col(rows) * HOT_KEYS > total).select(F.xxhash64(*on).alias(HOT))
+
+
+def salted_if_hot(df: DataFrame, on: Sequence[str], hot: DataFrame, salt: Column) -> DataFrame:
+    """Add the salt ``salt`` to rows of hot keys, and a fixed one to all others."""
+    marked = df.withColumn("_hash", F.xxhash64(*on)).join(F.broadcast(hot), F.col("_hash") == F.col(HOT), "left")
+    return marked.withColumn(SALT, F.when(F.col(HOT).isNotNull(), salt).otherwise(F.lit(0))).drop("_hash", HOT)
+
+
 def join_spread(many: DataFrame, one: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
     """Join ``many`` (with a ``_salt`` column) to ``one`` (with ``_salts``)."""
     spread = one.withColumn(SALT, F.explode(SALT_SET)).drop(SALT_SET)

@@ -8,7 +8,8 @@ run over one session *and* one stretch of time:
 * as-of lookup: stretch = day, at most 86,400 rows, plus one window over the
   days of a session;
 * decay: stretch = ``STRETCH`` half-lives and at least a day, plus one window
-  over the stretches of a session.
+  over the stretches near each stretch of a session: what lies further away has
+  faded to less than the smallest double.
 
 Hits without a usable time cannot be ordered and take no part here.
 """
@@ -84,17 +85,17 @@ def last_touch_credit(act: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
     )
 
 
+# Halvings after which any total is zero as a double.
+NOTHING_LEFT = 2200
+
+
 def _faded(stretches: Column, own: Column, fade: float, ahead: bool) -> Column:
     """Sum of the totals of other stretches, each halved ``fade`` times per stretch between."""
 
     def distance(s: Column) -> Column:
         return s["stretch"] - own if ahead else own - s["stretch"]
 
-    return F.aggregate(
-        F.filter(stretches, lambda s: distance(s) > 0),
-        F.lit(0.0),
-        lambda total, s: total + s["total"] * F.pow(F.lit(2.0), F.lit(-fade) * distance(s)),
-    )
+    return F.aggregate(stretches, F.lit(0.0), lambda total, s: total + s["total"] * F.pow(F.lit(2.0), F.lit(-fade) * distance(s)))
 
 
 def _running(rows: DataFrame, keys: Sequence[str], value: Column, fade: float, ahead: bool) -> DataFrame:
@@ -103,10 +104,12 @@ def _running(rows: DataFrame, keys: Sequence[str], value: Column, fade: float, a
     order = F.col("ts").desc() if ahead else F.col("ts").asc()
     within = Window.partitionBy(*keys, "stretch").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     valued = rows.withColumn("_value", value)
+    far = int(NOTHING_LEFT / fade) + 1
+    near = Window.partitionBy(*keys).orderBy("stretch").rangeBetween(*((1, far) if ahead else (-far, -1)))
     totals = (
         valued.groupBy(*keys, "stretch")
         .agg(F.sum("_value").alias("total"))
-        .withColumn("_all", F.collect_list(F.struct("stretch", "total")).over(Window.partitionBy(*keys)))
+        .withColumn("_all", F.collect_list(F.struct("stretch", "total")).over(near))
         .select(*keys, "stretch", _faded(F.col("_all"), F.col("stretch"), fade, ahead).alias("_carried"))
     )
     return (
@@ -118,7 +121,11 @@ def _running(rows: DataFrame, keys: Sequence[str], value: Column, fade: float, a
 
 
 def time_decay_credit(
-    act: DataFrame, half_life: int, scope: Sequence[str] = (), stage: Callable[[DataFrame], DataFrame] = unstaged
+    act: DataFrame,
+    half_life: int,
+    scope: Sequence[str] = (),
+    stage: Callable[[DataFrame], DataFrame] = unstaged,
+    last: DataFrame | None = None,
 ) -> DataFrame:
     """Split each purchase over the touches at or before it, halving per ``half_life`` seconds of age.
 
@@ -133,7 +140,9 @@ def time_decay_credit(
     touch-purchase pairs are ever formed.  They are taken relative to the start
     of a stretch, which keeps the powers in range however long the history is.
 
-    ``stage`` is applied to the small per-second tables that are read twice.
+    ``stage`` is applied to the small per-second tables that are read twice;
+    ``last`` is the result of :func:`last_touch_credit` where the caller has it.
+    The sums are doubles, so a keyword's revenue is exact to about 15 digits.
     """
     keys = keyed(scope)
     stretch = max(STRETCH * half_life, DAY)
@@ -149,7 +158,7 @@ def time_decay_credit(
     )
     touched = counts.groupBy(*keys, "ts").agg(F.sum("touches").alias("touches"), salt_set(F.col(SALT)))
     moved = (
-        last_touch_credit(act, scope)
+        (last if last is not None else last_touch_credit(act, scope))
         .groupBy(*keys, F.col("touch_ts").alias("ts"))
         .agg(F.sum("revenue").cast("double").alias("moved"))
     )

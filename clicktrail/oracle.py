@@ -286,6 +286,17 @@ def oracle_sql() -> dict[str, str]:
               THEN 'duplicate' END AS reason
           FROM d LEFT JOIN registry r ON d.phase = r.phase AND d.file_name = r.file_name""",
         "stream_intake": FIRST + " " + _KEYWORD_REVENUE.format(credit=FIRST_CREDIT),
+        "intake_report_files": FIRST + " " + _KEYWORD_REVENUE.format(credit=FIRST_CREDIT),
+        "intake_quality_reports": BASE + " SELECT true AS all_passed, count(*) AS rows_in, (SELECT count(*) - count(DISTINCT (hit_time_gmt, ip, page_url)) FROM hits) AS error_count FROM hits",
+        "two_runs_one_day": FIRST
+        + f""" SELECT domain AS "{R.output_columns[0]}", keyword AS "{R.output_columns[1]}",
+            CAST(CAST(round(sum(revenue), 2) AS DECIMAL(38,2)) AS VARCHAR) AS "{R.output_columns[2]}", half
+          FROM (SELECT f.domain, f.keyword, a.revenue, CAST(string_split(session, '.')[-1] AS BIGINT) % 2 AS half
+            FROM act a JOIN firsts f USING (session) WHERE a.revenue IS NOT NULL)
+          GROUP BY domain, keyword, half HAVING round(sum(revenue), 2) > 0""",
+        "dedup_hits_from_files": DIRT + _deduped("true") + " SELECT " + ", ".join(f"nullif({c}, '') AS {c}" for c in HIT_COLUMNS) + " FROM clean",
+        "dq_dup_rejects_from_files": DIRT
+        + " SELECT " + ", ".join(f"nullif({c}, '') AS {c}" for c in HIT_COLUMNS) + f", _error_reason FROM ({_dup_rejects()})",
         "dq_schema": DIRT
         + " SELECT 'schema_error: missing columns [''geo_city'', ''referrer'']' AS reason, count(*) AS row_count FROM dirty",
         "dq_null_counts": DIRT
@@ -375,9 +386,9 @@ def oracle_sql() -> dict[str, str]:
             CAST(round(sum(revenue), 2) AS DOUBLE) AS revenue,
             CAST(round(sum(revenue) FILTER (session IN (SELECT session FROM firsts)), 2) AS DOUBLE) AS attributed_revenue
           FROM act""",
-        "shared_session_keys": BASE
-        + """ SELECT ip AS session, count(DISTINCT user_agent) AS user_agents FROM hits GROUP BY ip
-          HAVING count(DISTINCT user_agent) > 1""",
+        "shared_session_keys": DIRT
+        + """ SELECT trim(ip) AS session, count(DISTINCT user_agent) AS user_agents FROM dirty WHERE trim(ip) <> ''
+          GROUP BY trim(ip) HAVING count(DISTINCT user_agent) > 1""",
         "keyword_report": FIRST + " " + _report(R),
         "keyword_report_custom_rules": BASE + _activity(rules=CUSTOM) + _first() + " " + _report(CUSTOM),
         "sem_insights": SEM_BASE + " " + SEM.replace("{run_date}", "2024-02-01 12:00:00 UTC"),

@@ -1,9 +1,9 @@
 """One run over a set of hits: check, clean, attribute, publish, record.
 
-Reads of the raw input: one aggregate (the quality profile), one pass that
-parses, deduplicates and stages the few columns attribution needs, and - only
-when there is something to reject - the passes that find and write the rejects.
-The report itself reads the staged table.
+Text files are parsed once, into a staged table that stores each row's
+position.  That table is read by one aggregate (the quality profile), one pass
+that deduplicates and stages the few columns attribution needs, and - only when
+there is something to reject - the passes that find and write the rejects.
 
 Counts come from aggregates and from the written tables, not from accumulators
 on shuffle stages, so a lost executor cannot inflate them.
@@ -19,6 +19,7 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,17 +38,17 @@ from clicktrail.operators.quality import (
     schema_rejects,
     type_rejects,
 )
-from clicktrail.plans.reports import report_of, sem_insights
+from clicktrail.plans.reports import report_of, sem_insights, shared_session_keys
 from clicktrail.rules import Rules
 from clicktrail.session import Staging
 from clicktrail.sinks import files, outputs
-
+from clicktrail.sources.hits import with_stored_positions
 
 log = logging.getLogger(__name__)
 
 
 @contextmanager
-def _not_fatal(what: str) -> Iterator[None]:
+def not_fatal(what: str) -> Iterator[None]:
     """A run goes on when evidence about it cannot be stored."""
     try:
         yield
@@ -55,6 +56,11 @@ def _not_fatal(what: str) -> Iterator[None]:
         log.warning("could not store the %s: %s", what, str(exc).split("\n", 1)[0])
 
 
+def commit_id() -> str:
+    """Which version of the code runs, as the deployment says."""
+    return os.environ.get("GIT_COMMIT", "local")
+
+
 @dataclass(frozen=True)
 class Run:
     """What identifies a run; fixed up front so that a repeat writes the same places."""
@@ -111,12 +117,19 @@ def staged_activity(hits: DataFrame, rules: Rules, path: str, scope: Sequence[st
 
 
 def run_batch(
-    spark: SparkSession, hits: DataFrame, out: str, rules: Rules = Rules(), run: Run | None = None
+    spark: SparkSession,
+    hits: DataFrame,
+    out: str,
+    rules: Rules = Rules(),
+    run: Run | None = None,
+    layout: str = "single",
+    archive: str | None = None,
 ) -> dict:
     """Run the keyword report over ``hits`` and write everything below ``out``.
 
     Returns the run summary.  A failed check raises after its evidence (rejects,
-    quality report, lineage) is stored.
+    quality report, lineage) is stored.  With ``archive``, exactly the files that
+    were read move there once the report is out.
     """
     run = run or Run()
     out = out.rstrip("/")
@@ -130,12 +143,15 @@ def run_batch(
         "output_rows": 0,
         "engine_used": "pyspark",
         "dq_passed": False,
-        "git_commit": os.environ.get("GIT_COMMIT", "local"),
+        "git_commit": commit_id(),
         "attribution_model": rules.attribution_model,
     }
     stage = Staging(spark, "run")
     try:
-        summary = _checked_run(spark, hits, out, rules, run, stage, lineage)
+        read = hits.inputFiles() if archive else []
+        summary = _checked_run(spark, with_stored_positions(hits, stage), out, rules, run, stage, lineage, layout)
+        for path in read:
+            files.move(spark, plain := unquote(path), f"{archive.rstrip('/')}/{plain.rsplit('/', 1)[-1]}")
         lineage["status"] = "SUCCESS"
         return summary | {"duration_seconds": lineage.setdefault("duration_seconds", round(time.monotonic() - started, 2))}
     except Exception as exc:
@@ -143,13 +159,15 @@ def run_batch(
         raise
     finally:
         lineage.setdefault("duration_seconds", round(time.monotonic() - started, 2))
-        # Last of all, so the record tells what really happened.
-        outputs.write_lineage(spark, lineage, f"{out}/lineage")
-        files.delete(spark, stage.folder)
+        # Last of all, so the record tells what really happened; a run stands without it.
+        with not_fatal("lineage"):
+            outputs.write_lineage(spark, lineage, f"{out}/lineage")
+        with not_fatal("removal of staging tables"):
+            files.delete(spark, stage.folder)
 
 
 def _checked_run(
-    spark: SparkSession, hits: DataFrame, out: str, rules: Rules, run: Run, stage: Staging, lineage: dict
+    spark: SparkSession, hits: DataFrame, out: str, rules: Rules, run: Run, stage: Staging, lineage: dict, layout: str
 ) -> dict:
     report = {
         "run_id": run.run_id,
@@ -165,11 +183,11 @@ def _checked_run(
     def store_quality() -> None:
         report["overall_passed"] = all(c["passed"] for c in report["checks"])
         lineage["dq_passed"] = report["overall_passed"]
-        with _not_fatal("quality report"):
+        with not_fatal("quality report"):
             outputs.write_quality_report(spark, report, f"{out}/dq-reports", run.when, run.stem)
 
     def store_errors(errors: DataFrame) -> None:
-        with _not_fatal("rejected rows"):
+        with not_fatal("rejected rows"):
             outputs.write_errors(errors, f"{out}/dq-errors", run.when, run.stem, run.run_id, rules)
 
     schema = check_schema(hits, rules)
@@ -236,8 +254,13 @@ def _checked_run(
     if failed or duplicates:
         store_errors(rejects)
 
-    target = outputs.day_folder(f"{out}/processed", run.when, run.phase)
-    output_file, output_rows = outputs.write_keyword_report(report_of(act, rules, stage=stage), target, run.when, rules)
+    with not_fatal("warning of shared session keys"):
+        shared = shared_session_keys(hits.where(is_valid(rules, hits.columns)), rules).count()
+        if shared:
+            log.warning("%d session keys are used with several user agents", shared)
+    # Runs of one day over different inputs keep their own reports.
+    target = f"{outputs.day_folder(f'{out}/processed', run.when, run.phase)}/source={run.stem}"
+    output_file, output_rows = outputs.write_keyword_report(report_of(act, rules, stage=stage), target, run.when, rules, layout)
     store_quality()
     lineage |= {"output_file": output_file, "output_rows": output_rows}
     return {
@@ -253,9 +276,11 @@ def _checked_run(
     }
 
 
-def run_sem(spark: SparkSession, hits: DataFrame, out: str, rules: Rules = Rules(), run: Run | None = None) -> dict:
+def run_sem(
+    spark: SparkSession, hits: DataFrame, out: str, rules: Rules = Rules(), run: Run | None = None, layout: str = "single"
+) -> dict:
     """Write the keyword funnel of raw hits (no checks, no deduplication)."""
     run = run or Run()
     report = sem_insights(hits, rules, f"{run.when:%Y-%m-%d %H:%M:%S} UTC", run.run_id)
-    path, rows = outputs.write_sem_report(report, f"{out.rstrip('/')}/processed", run.when)
+    path, rows = outputs.write_sem_report(report, f"{out.rstrip('/')}/processed", run.when, layout)
     return {"run_id": run.run_id, "status": "SUCCESS", "output_file": path, "output_rows": rows}

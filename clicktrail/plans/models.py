@@ -57,21 +57,23 @@ def credit(
     scope: Sequence[str] = (),
     model: str | None = None,
     stage: Callable[[DataFrame], DataFrame] = unstaged,
+    last: DataFrame | None = None,
 ) -> DataFrame:
     """Credit rows of one model, by default the one the rules name.
 
     ``first_touch`` and ``last_touch`` read the activity once; ``linear`` reads
-    it twice and ``time_decay`` twice, plus its own per-second tables.
+    it twice and ``time_decay`` twice, plus its own per-second tables.  ``last``
+    is the credit of ``last_touch`` where the caller has it already.
     """
     model = model or rules.attribution_model
     if model == "first_touch":
         return first_touch_credit(act, rules, scope)
     if model == "last_touch":
-        return last_touch_credit(act, scope)
+        return last if last is not None else last_touch_credit(act, scope)
     if model == "linear":
         return linear_credit(act, scope)
     if model == "time_decay":
-        return time_decay_credit(act, rules.half_life_seconds, scope, stage)
+        return time_decay_credit(act, rules.half_life_seconds, scope, stage, last)
     raise ValueError(f"unknown attribution model {model!r}")
 
 
@@ -92,8 +94,10 @@ def compare_models(
     stage: Callable[[DataFrame], DataFrame] = unstaged,
 ) -> DataFrame:
     """One row per keyword with one revenue column per model (0 where a model gives it nothing)."""
+    # Two models start from the last touches; they are looked up once.
+    last = stage(last_touch_credit(act, scope)) if {"last_touch", "time_decay"} <= set(models) else None
     parts = [
-        keyword_revenue(credit(act, rules, scope, m, stage), rules, scope).withColumn("model", F.lit(m))
+        keyword_revenue(credit(act, rules, scope, m, stage, last), rules, scope).withColumn("model", F.lit(m))
         for m in models
     ]
     stacked = reduce(DataFrame.unionByName, parts)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clicktrail.functions.commerce import ratio, revenue_text
+from clicktrail.functions.text import stripped
 from clicktrail.operators.activity import activity, is_touch, touch_order, touches
 from clicktrail.operators.sessions import first_touch, session_summary
 from clicktrail.plans.models import MULTI_PASS, credit, keyword_revenue
@@ -15,11 +16,12 @@ from clicktrail.rules import Rules
 from clicktrail.session import Staging, unstaged
 
 
-def named_report(revenue: DataFrame, rules: Rules, scope: Sequence[str] = ()) -> DataFrame:
-    """Final column names and order; ties are broken by domain and keyword."""
+def named_report(revenue: DataFrame, rules: Rules, scope: Sequence[str] = (), ordered: bool = True) -> DataFrame:
+    """Final column names and, unless the caller has seen to it, order; ties are broken by domain and keyword."""
     by_revenue = F.col("revenue").asc() if rules.sort_ascending else F.col("revenue").desc()
     domain_name, keyword_name, revenue_name = rules.output_columns
-    return revenue.orderBy(*scope, by_revenue, "domain", "keyword").select(
+    ranked = revenue.orderBy(*scope, by_revenue, "domain", "keyword") if ordered else revenue
+    return ranked.select(
         *scope,
         F.col("domain").alias(domain_name),
         F.col("keyword").alias(keyword_name),
@@ -166,9 +168,15 @@ def run_totals(act: DataFrame, rules: Rules, scope: Sequence[str] = ()) -> DataF
 
 
 def shared_session_keys(hits: DataFrame, rules: Rules = Rules(), scope: Sequence[str] = ()) -> DataFrame:
-    """Session keys used with more than one user agent: visitors that may have been merged."""
+    """Session keys used with more than one user agent: visitors that may have been merged.
+
+    Keys are trimmed as sessions are, and hits without one are no session.
+    """
+    session = stripped(F.col(rules.session_key_column))
     return (
-        hits.groupBy(*scope, F.col(rules.session_key_column).alias("session"))
+        hits.select(*scope, session.alias("session"), "user_agent")
+        .where(F.col("session") != "")
+        .groupBy(*scope, "session")
         .agg(F.count_distinct("user_agent").alias("user_agents"))
         .where(F.col("user_agents") > 1)
     )

@@ -52,6 +52,7 @@ MODELS = ("first_touch", "last_touch", "linear", "time_decay")
 
 @dataclass(frozen=True)
 class Rules:
+    # The defaults of all settings are part of the contract.
     required_columns: tuple[str, ...] = HIT_COLUMNS
     critical_columns: tuple[str, ...] = ("hit_time_gmt", "ip", "referrer")
     dedup_key_columns: tuple[str, ...] = ("hit_time_gmt", "ip", "page_url")
@@ -91,6 +92,9 @@ class Rules:
     revenue_decimal_places: int = 2
     sort_ascending: bool = False
     filename_pattern: str = REPORT_FILENAME
+    output_delimiter: str = "\t"
+    output_encoding: str = "UTF-8"
+    file_encoding: str = "UTF-8"
 
     def __post_init__(self):
         if self.attribution_model not in MODELS:

@@ -41,8 +41,23 @@ def part_files(spark: SparkSession, folder: str) -> list[str]:
     return sorted(n for n in names if n.rsplit("/", 1)[-1].startswith("part-"))
 
 
+def _replace(spark: SparkSession, source: str, target: str) -> None:
+    """One rename that takes the place of an existing file; readers see the old or the new one."""
+    jvm = spark._jvm
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        _fs(spark, target)[0].getUri(), spark._jsc.hadoopConfiguration()
+    )
+    overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target), overwrite)
+
+
 def move(spark: SparkSession, source: str, target: str) -> None:
-    """Rename, replacing the target; safe to repeat after a failure part-way."""
+    """Rename, replacing the target; safe to repeat after a failure part-way.
+
+    A file replaces a file in one step.  A folder cannot: the old one is set
+    aside, and put back if the new one cannot take its place.
+    """
     fs, src = _fs(spark, source)
     _, dst = _fs(spark, target)
     if not fs.exists(src):
@@ -50,10 +65,42 @@ def move(spark: SparkSession, source: str, target: str) -> None:
             return
         raise FileNotFoundError(source)
     fs.mkdirs(dst.getParent())
-    if fs.exists(dst):
-        fs.delete(dst, True)
+    if not fs.exists(dst) or (fs.getFileStatus(src).isFile() and fs.getFileStatus(dst).isFile()):
+        _replace(spark, source, target)
+        return
+    aside = spark._jvm.org.apache.hadoop.fs.Path(f"{target}_old")
+    fs.delete(aside, True)
+    if not fs.rename(dst, aside):
+        raise OSError(f"could not set aside {target}")
     if not fs.rename(src, dst):
+        fs.rename(aside, dst)
         raise OSError(f"could not rename {source} to {target}")
+    fs.delete(aside, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file, such as the reason beside a file that was set aside."""
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def has_data(spark: SparkSession, path: str) -> bool:
+    """Whether a text file has anything after its first line."""
+    fs, p = _fs(spark, path)
+    io = spark._jvm.java.io
+    lines = io.BufferedReader(io.InputStreamReader(fs.open(p), "UTF-8"))
+    try:
+        lines.readLine()
+        while (line := lines.readLine()) is not None:
+            if line.strip():
+                return True
+        return False
+    finally:
+        lines.close()
 
 
 def publish_one_file(df: DataFrame, target: str, order: list, **options) -> None:

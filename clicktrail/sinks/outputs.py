@@ -15,10 +15,11 @@ from clicktrail.rules import Rules
 from clicktrail.session import Staging
 from clicktrail.sinks import files
 
-# A report with at most this many rows is delivered as the single file users
-# expect; a larger one as a folder of sorted parts under the same name.
-MAX_SINGLE_FILE_ROWS = 1_000_000
+# How a report is delivered: one file, written by one task, or a folder of
+# sorted parts under the same name.  The caller chooses; row counts never do.
+LAYOUTS = ("single", "parts")
 
+# The field names of the lineage record.
 LINEAGE_SCHEMA = T.StructType(
     [
         T.StructField("run_id", T.StringType()),
@@ -72,6 +73,13 @@ def day_folder(root: str, when: datetime, *parts: str) -> str:
     return "/".join([root.rstrip("/"), *parts, f"year={when:%Y}", f"month={when:%m}", f"day={when:%d}"])
 
 
+def partition_path(root: str, values: dict[str, str]) -> str:
+    """The folder of a partition as Spark names it, special characters escaped."""
+    special = "\"#%'*/:=?\\{[]^\x7f"
+    escaped = lambda v: "".join(f"%{ord(c):02X}" if c in special or c < " " else c for c in v)
+    return "/".join([root.rstrip("/"), *(f"{k}={escaped(v)}" for k, v in values.items())])
+
+
 def report_file_name(rules: Rules, when: datetime) -> str:
     return rules.filename_pattern.replace("{date}", f"{when:%Y-%m-%d}")
 
@@ -80,19 +88,21 @@ def _publish(
     df: DataFrame,
     target: str,
     order: list[Column],
-    single_file_rows: int,
+    layout: str,
     decorate: Callable[[DataFrame], DataFrame] = lambda d: d,
     skip_empty: bool = False,
     **options,
 ) -> int:
     """Compute once into a staging table, then deliver it whole under ``target``."""
+    if layout not in LAYOUTS:
+        raise ValueError(f"unknown layout {layout!r}")
     spark = df.sparkSession
     stage = Staging(spark, "report")
     try:
         table = stage(df)
         rows = table.count()
         if rows or not skip_empty:
-            how = files.publish_one_file if rows <= single_file_rows else files.publish_parts
+            how = files.publish_one_file if layout == "single" else files.publish_parts
             how(decorate(table), target, order, **options)
     finally:
         files.delete(spark, stage.folder)
@@ -100,24 +110,24 @@ def _publish(
 
 
 def write_keyword_report(
-    report: DataFrame, folder: str, when: datetime, rules: Rules = Rules(), single_file_rows: int = MAX_SINGLE_FILE_ROWS
+    report: DataFrame, folder: str, when: datetime, rules: Rules = Rules(), layout: str = "single"
 ) -> tuple[str, int]:
-    """The ranked report as a tab-delimited file; returns its path and row count."""
+    """The ranked report, delimited as the rules say; returns its path and row count."""
     target = f"{folder.rstrip('/')}/{report_file_name(rules, when)}"
     domain, keyword, revenue = (F.col(f"`{c}`") for c in rules.output_columns)
     as_number = revenue.cast("double")
     order: list[Column] = [as_number.asc() if rules.sort_ascending else as_number.desc(), domain, keyword]
-    rows = _publish(report, target, order, single_file_rows, lambda d: report_as_text(d, rules), sep="\t")
+    rows = _publish(report, target, order, layout, lambda d: report_as_text(d, rules), sep=rules.output_delimiter, encoding=rules.output_encoding)
     return target, rows
 
 
 def write_sem_report(
-    report: DataFrame, folder: str, when: datetime, single_file_rows: int = MAX_SINGLE_FILE_ROWS
+    report: DataFrame, folder: str, when: datetime, layout: str = "single"
 ) -> tuple[str | None, int]:
     """The keyword funnel as CSV; no file when there is nothing to report."""
     target = f"{day_folder(folder, when, 'sem_insights')}/sem_insights_{when:%Y%m%d}.csv"
     order = [F.col("total_revenue").desc(), F.col("search_engine_domain"), F.col("search_keyword")]
-    rows = _publish(report, target, order, single_file_rows, skip_empty=True)
+    rows = _publish(report, target, order, layout, skip_empty=True)
     return (target if rows else None), rows
 
 

@@ -98,6 +98,24 @@ def test_other_half_lives(spark, half_life):
     agree(engine(spark, rows, "time_decay", rules), brute_force(rows, "time_decay", half_life))
 
 
+def test_thousands_of_stretches_in_one_session(spark):
+    rules = RULES.but(half_life_seconds=DAY // 8)  # a stretch is a day
+    rows = [r for d in range(4000) for r in (search(d * DAY, "v", f"k{d % 5}"), sale(d * DAY + 9, "v", 1 + d % 7))]
+    agree(engine(spark, rows, "time_decay", rules), near_force(rows, DAY // 8))
+
+
+def near_force(rows, half_life):
+    """Brute force without the touches whose weight is nothing."""
+    touches, sales = sessions_of(rows)
+    out = defaultdict(float)
+    for time, price in sales["v"]:
+        near = [t for t in touches["v"] if time - 30 * DAY <= t[0] <= time]
+        weights = [2.0 ** ((t[0] - near[-1][0]) / half_life) for t in near]
+        for t, w in zip(near, weights):
+            out[t[2]] += price * w / sum(weights)
+    return out
+
+
 @pytest.mark.parametrize("model", ["linear", "time_decay"])
 def test_shares_add_up_to_the_revenue(spark, model):
     rows = HISTORIES["one busy visitor"]

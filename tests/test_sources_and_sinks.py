@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from clicktrail.__main__ import main
 from clicktrail.operators.quality import NullValidationError, SchemaValidationError
+from clicktrail.operators import dedup
 from clicktrail.plans import reports
 from clicktrail.plans.batch import Run, run_batch, run_sem
 from clicktrail.rules import HIT_COLUMNS, Rules
@@ -96,36 +97,36 @@ def test_batch_run(spark, tmp_path):
     path = put(tmp_path / "raw" / "hits.tab", tab_text(anchor_hits()))
     out, before = str(tmp_path / "out"), staged_tables(spark)
     summary = run_batch(spark, read_hits(spark, path), out, RULES, Run(path, "phase1", "run-12345678", WHEN))
-    target = f"{out}/processed/phase1/year=2026/month=02/day=25/{REPORT}"
+    target = f"{out}/processed/phase1/year=2026/month=02/day=25/source=hits/{REPORT}"
     assert {k: summary[k] for k in ("status", "input_rows", "clean_rows", "output_rows", "dq_passed", "output_file")} == {
         "status": "SUCCESS",
-        "input_rows": 21,
-        "clean_rows": 21,
+        "input_rows": 12,
+        "clean_rows": 12,
         "output_rows": 2,
         "dq_passed": True,
         "output_file": target,
     }
     assert lines(target) == [
         "Search Engine Domain\tSearch Keyword\tRevenue",
-        "google.com\tipod\t480.00",
-        "bing.com\tzune\t250.00",
+        "google.com\tgarden hose\t50.50",
+        "bing.com\tspade\t35.00",
         "",
     ]
     assert not os.path.exists(target + "_tmp") and not os.path.exists(f"{out}/dq-errors")
     report = json_of(f"{out}/dq-reports/2026/02/25/hits_run-1234_dq_report.json")
-    assert report["overall_passed"] and report["rows_in"] == report["rows_out"] == 21 and report["error_count"] == 0
+    assert report["overall_passed"] and report["rows_in"] == report["rows_out"] == 12 and report["error_count"] == 0
     assert [c["check"] for c in report["checks"]] == ["schema_validation", "null_validation", "duplicate_check"]
     lineage = json_of(f"{out}/lineage/2026-02-25/run-12345678.json")
-    assert lineage["status"] == "SUCCESS" and lineage["output_file"] == target and lineage["input_rows"] == 21
+    assert lineage["status"] == "SUCCESS" and lineage["output_file"] == target and lineage["input_rows"] == 12
     assert staged_tables(spark) == before  # its own are gone
 
 
 def test_batch_run_with_rejects(spark, tmp_path):
-    rows = anchor_hits() + [anchor_hits()[20] | {"pagename": "again"}, hit("", ""), hit("abc", "t")]
+    rows = anchor_hits() + [anchor_hits()[11] | {"pagename": "again"}, hit("", ""), hit("abc", "t")]
     out = str(tmp_path / "out")
     rules = RULES.but(fail_on_null_critical=False, reject_type_errors=True)
     summary = run_batch(spark, frame(spark, rows), out, rules, Run("h.tab", "other", "run-1", WHEN))
-    assert (summary["input_rows"], summary["clean_rows"], summary["dq_passed"]) == (24, 21, False)
+    assert (summary["input_rows"], summary["clean_rows"], summary["dq_passed"]) == (15, 12, False)
     stored = spark.read.options(header=True).csv(f"{out}/dq-errors/2026/02/25/h_run-1_errors.csv")
     assert sorted(r["_error_reason"].split(" key=")[0] for r in stored.collect()) == [
         "duplicate_row:",
@@ -133,10 +134,10 @@ def test_batch_run_with_rejects(spark, tmp_path):
         "null_critical_column: ip",
         "type_error: hit_time_gmt",
     ]
-    assert "67.98" not in str(stored.select("ip", "user_agent").collect())
+    assert "10.7" not in str(stored.select("ip", "user_agent").collect())
     report = json_of(f"{out}/dq-reports/2026/02/25/h_run-1_dq_report.json")
     assert report["error_count"] == 4
-    assert lines(summary["output_file"])[1] == "google.com\tipod\t480.00"
+    assert lines(summary["output_file"])[1] == "google.com\tgarden hose\t50.50"
 
 
 def test_fatal_nulls_leave_evidence_and_no_report(spark, tmp_path):
@@ -145,7 +146,7 @@ def test_fatal_nulls_leave_evidence_and_no_report(spark, tmp_path):
         run_batch(spark, frame(spark, anchor_hits() + [hit(1, "a", referrer="")]), out, RULES, Run("h.tab", "p", "run-1", WHEN))
     assert os.path.exists(f"{out}/dq-errors/2026/02/25/h_run-1_errors.csv") and not os.path.exists(f"{out}/processed")
     lineage = json_of(f"{out}/lineage/2026-02-25/run-1.json")
-    assert lineage["status"] == "FAILED" and "critical" in lineage["error"] and lineage["input_rows"] == 22
+    assert lineage["status"] == "FAILED" and "critical" in lineage["error"] and lineage["input_rows"] == 13
 
 
 def test_missing_columns(spark, tmp_path):
@@ -161,15 +162,15 @@ def test_missing_columns(spark, tmp_path):
 def test_batch_run_with_other_models(spark, tmp_path, model):
     rules = RULES.but(attribution_model=model)
     summary = run_batch(spark, frame(spark, anchor_hits()), str(tmp_path), rules, Run(when=WHEN))
-    assert lines(summary["output_file"])[1:3] == ["google.com\tipod\t480.00", "bing.com\tzune\t250.00"]
+    assert lines(summary["output_file"])[1:3] == ["google.com\tgarden hose\t50.50", "bing.com\tspade\t35.00"]
 
 
-def test_large_reports_become_sorted_parts(spark, tmp_path):
+def test_reports_can_be_sorted_parts(spark, tmp_path):
     rows = [r for i in range(40) for r in (search(1, f"v{i}", f"k{i:02d}"), sale(2, f"v{i}", 100 + i))]
     report = reports.keyword_report(frame(spark, rows))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        target, count = outputs.write_keyword_report(report, str(tmp_path), WHEN, RULES, single_file_rows=10)
+        target, count = outputs.write_keyword_report(report, str(tmp_path), WHEN, RULES, layout="parts")
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     parts = sorted(n for n in os.listdir(target) if n.startswith("part-"))
@@ -183,14 +184,79 @@ def test_sem_report(spark, tmp_path):
     with open(summary["output_file"], newline="") as f:
         got = list(csv.DictReader(f))
     assert [(r["search_keyword"], r["total_revenue"], r["run_id"]) for r in got] == [
-        ("ipod", "480.0", "r1"),
-        ("zune", "250.0", "r1"),
-        ("cd player", "0.0", "r1"),
+        ("garden hose", "50.5", "r1"),
+        ("spade", "35.0", "r1"),
+        ("bird bath", "0.0", "r1"),
     ]
     nothing = run_sem(spark, frame(spark, [hit(1, "a")]), str(tmp_path / "none"), RULES, Run(when=WHEN))
     assert nothing["output_file"] is None and not os.path.exists(tmp_path / "none")
 
 
+def test_size_never_decides_the_form_of_a_report(spark, tmp_path):
+    rows = [r for i in range(60) for r in (search(1, f"v{i}", f"k{i:02d}"), sale(2, f"v{i}", 100 + i))]
+    report = reports.keyword_report(frame(spark, rows, 5))
+    for n in (1, 60):
+        target, _ = outputs.write_keyword_report(report.limit(n), str(tmp_path / str(n)), WHEN, RULES)
+        assert os.path.isfile(target)
+    with pytest.raises(ValueError, match="layout"):
+        outputs.write_keyword_report(report, str(tmp_path), WHEN, RULES, layout="auto")
+
+
+def test_runs_of_one_day_keep_their_reports(spark, tmp_path):
+    for name, price in (("a", 5), ("b", 7)):
+        rows = frame(spark, [search(1, "v", "x"), sale(2, "v", price)])
+        run_batch(spark, rows, str(tmp_path), RULES, Run(f"{name}.tab", "phase1", f"run-{name}", WHEN))
+    day = tmp_path / "processed" / "phase1" / "year=2026" / "month=02" / "day=25"
+    assert [lines(day / f"source={n}" / REPORT)[1] for n in "ab"] == ["google.com\tx\t5.00", "google.com\tx\t7.00"]
+
+
+def test_output_delimiter_and_encoding_are_rules(spark, tmp_path):
+    rules = RULES.but(output_delimiter=";", output_encoding="ISO-8859-1")
+    rows = frame(spark, [search(1, "v", "b%C3%BCro"), sale(2, "v", 5)])
+    summary = run_batch(spark, rows, str(tmp_path), rules, Run(when=WHEN))
+    with open(summary["output_file"], "rb") as f:
+        assert f.read().split(b"\n")[1] == b"google.com;b\xfcro;5.00"
+
+
+def test_a_lost_lineage_record_does_not_break_a_run(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(outputs, "write_lineage", lambda *_: 1 / 0)
+    assert run_batch(spark, frame(spark, anchor_hits()), str(tmp_path), RULES, Run(when=WHEN))["status"] == "SUCCESS"
+
+
+def test_a_file_takes_the_place_of_a_file(spark, tmp_path):
+    new, old = put(tmp_path / "new", "2"), put(tmp_path / "old", "1")
+    files.move(spark, new, old)
+    assert open(old).read() == "2" and not os.path.exists(new)
+    put(tmp_path / "parts" / "part-1", "2")
+    put(tmp_path / "target" / "part-0", "1")
+    files.move(spark, str(tmp_path / "parts"), str(tmp_path / "target"))
+    assert [n for n in os.listdir(tmp_path / "target") if n.startswith("part")] == ["part-1"] and not os.path.exists(tmp_path / "target_old")
+
+
+def copies_in_files(tmp_path, files_=3, keys=200):
+    for f in range(files_):
+        rows = [hit(k, "v", page=f"{f}-{k}", name=n) for k in range(keys) for n in ("first", "second")]
+        put(tmp_path / "in" / f"h{f}.tab", tab_text(rows))
+    return str(tmp_path / "in")
+
+
+def test_splits_may_change_between_two_scans(spark, tmp_path):
+    hits = read_hits(spark, copies_in_files(tmp_path))
+    kept, rejected = dedup.keep_first(hits, RULES), dedup.duplicate_rejects(hits, RULES)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        assert {(r["pagename"], r["count"]) for r in kept.groupBy("pagename").count().collect()} == {("first", 600)}
+        assert {(r["pagename"], r["count"]) for r in rejected.groupBy("pagename").count().collect()} == {("second", 600)}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_rejects_are_found_by_inner_joins(spark, tmp_path):
+    frame(spark, anchor_hits()).write.parquet(str(tmp_path / "h"))
+    plan = dedup.duplicate_rejects(spark.read.parquet(str(tmp_path / "h")), RULES)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner" in plan and "LeftOuter" not in plan
+
+
 def test_partitions_are_replaced_one_by_one(spark, tmp_path):
     out = str(tmp_path / "t")
     df = spark.createDataFrame([("x", 1.0)], "keyword string, revenue double")
@@ -233,15 +299,21 @@ def test_manifest(spark, tmp_path):
 
 def test_command_line(spark, tmp_path, capsys):
     path = put(tmp_path / "in" / "phase1" / "hits_20260225_143000.tab", tab_text(anchor_hits()))
-    assert main(["report", "--input", path, "--output", str(tmp_path / "o"), "--phase", "phase1"]) == 0
-    assert json.loads(capsys.readouterr().out)["output_rows"] == 2
+    assert main(["report", "--input", path, "--output", str(tmp_path / "o")]) == 0
+    summary = json.loads(capsys.readouterr().out)
+    assert summary["output_rows"] == 2 and "/processed/phase1/" in summary["output_file"]  # read off the path
     config = '{"keyword_normalize_case": false}'
     assert main(["sem", "--input", path, "--output", str(tmp_path / "s"), "--run-id", "r", "--config-json", config]) == 0
     assert json.loads(capsys.readouterr().out)["output_rows"] == 4
     copy = put(tmp_path / "once" / "hits.tab", tab_text(anchor_hits()))
-    kept = str(tmp_path / "kept" / "hits.tab")
-    assert main(["report", "--input", copy, "--output", str(tmp_path / "k"), "--archive-input", kept]) == 0
-    assert os.path.exists(kept) and not os.path.exists(copy) and capsys.readouterr()
+    late = put(tmp_path / "once" / "other.txt", "not read")
+    kept = tmp_path / "kept"
+    assert main(["report", "--input", str(tmp_path / "once" / "*.tab"), "--output", str(tmp_path / "k"), "--archive-input", str(kept)]) == 0
+    assert os.listdir(kept)[-1:] and os.path.exists(kept / "hits.tab") and not os.path.exists(copy) and os.path.exists(late)
+    assert json.loads(capsys.readouterr().out)["status"] == "SUCCESS"
+    bad = put(tmp_path / "bad" / "phase3" / "short.tab", tab_text(anchor_hits(), columns=HIT_COLUMNS[:-1]))
+    assert main(["report", "--input", bad, "--output", str(tmp_path / "b")]) == 1
+    assert json.loads(capsys.readouterr().out)["status"] == "FAILED"
     args = ["--input", str(tmp_path / "in"), "--output", str(tmp_path / "i"), "--checkpoint", str(tmp_path / "c")]
     assert main(["intake", *args]) == 0
     assert os.path.exists(tmp_path / "i" / "archive" / "phase1" / "hits_20260225_143000.tab")

@@ -1,14 +1,16 @@
 import os
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from clicktrail.rules import HIT_COLUMNS, Rules
+from clicktrail.sinks import outputs
 from clicktrail.streaming.intake import Intake
 from tests.fixtures import anchor_hits, hit, sale, search, tab_text
 from tests.test_sources_and_sinks import put
 
-ANCHORS = {("google.com", "ipod", 480.0), ("bing.com", "zune", 250.0)}
+ANCHORS = {("google.com", "garden hose", 50.5), ("bing.com", "spade", 35.0)}
 
 
 class Place:
@@ -62,7 +64,7 @@ def test_files_are_taken_in_once(spark, place):
     assert place.report() == ANCHORS | {("google.com", "new", 9.0)}
     lineage = spark.read.json(f"{place.out}/lineage")
     assert lineage.where("status = 'SUCCESS'").count() == 2
-    assert {(r["input_rows"], r["output_rows"]) for r in lineage.collect()} == {(21, 2), (2, 1)}
+    assert {(r["input_rows"], r["output_rows"]) for r in lineage.collect()} == {(12, 2), (2, 1)}
 
 
 def test_each_file_is_attributed_on_its_own(place):
@@ -72,13 +74,72 @@ def test_each_file_is_attributed_on_its_own(place):
     assert place.report() == {("google.com", "one", 5.0), ("google.com", "two", 6.0)}
 
 
-def test_files_can_be_attributed_together(spark, tmp_path):
-    place = Place(spark, tmp_path, per_file=False, move_files=False)
-    put(place.landing / "phase1" / "a_20260225_000000.tab", tab_text([search(1, "v", "one"), sale(2, "v", 5)]))
-    put(place.landing / "phase1" / "b_20260225_000001.tab", tab_text([search(3, "v", "two"), sale(4, "v", 6)]))
+@pytest.mark.parametrize("max_files", [1, 2, None])
+def test_results_do_not_depend_on_batches(spark, tmp_path, max_files):
+    place = Place(spark, tmp_path, **({"max_files": max_files} if max_files else {}))
+    for i, day in enumerate(("2026-01-31", "2026-02-04", "2026-02-04")):
+        path = put(place.landing / "phase1" / f"f{i}_20260225_00000{i}.tab", tab_text([search(1, "v", f"k{i}"), sale(2, "v", 5 + i)]))
+        when = datetime.fromisoformat(f"{day}T12:00:00+00:00").timestamp()
+        os.utime(path, (when, when))
+    place.run()
+    rows = spark.read.parquet(f"{place.out}/processed").select("file_name", "keyword", "revenue", "month", "day").collect()
+    assert {tuple(r) for r in rows} == {
+        ("f0_20260225_000000.tab", "k0", 5.0, 1, 31),
+        ("f1_20260225_000001.tab", "k1", 6.0, 2, 4),
+        ("f2_20260225_000002.tab", "k2", 7.0, 2, 4),
+    }
+
+
+def test_every_file_has_a_ranked_report_and_a_quality_report(spark, tmp_path):
+    rules = Rules(output_columns=("engine", "term", "income"), sort_ascending=True, filename_pattern="{date}_terms.tab")
+    place = Place(spark, tmp_path, rules=rules)
+    rows = [search(1, "v", "big"), sale(2, "v", 50), search(1, "w", "small"), sale(2, "w", 5), sale(2, "w", 5)]
+    path = put(place.landing / "phase1" / "a_20260225_000000.tab", tab_text(rows))
+    os.utime(path, (1772000000, 1772000000))
+    place.run()
+    name = f"{place.out}/reports/phase=phase1/year=2026/month=02/day=25/file_name=a_20260225_000000.tab/2026-02-25_terms.tab"
+    with open(name) as f:
+        assert f.read() == "engine\tterm\tincome\ngoogle.com\tsmall\t5.00\ngoogle.com\tbig\t50.00\n"
+    (report,) = spark.read.schema(outputs.QUALITY_SCHEMA).json(f"{place.out}/dq-reports").collect()
+    assert (report["rows_in"], report["rows_out"], report["error_count"], report["overall_passed"]) == (5, 4, 1, True)
+    assert [c["check"] for c in report["checks"]] == ["schema_validation", "null_validation", "duplicate_check"]
+
+
+@pytest.mark.parametrize("name", ["with space", "with%20code", "with#hash", "with+plus", "wïth äccent", "with[glob]"])
+def test_file_names_with_special_characters(place, name):
+    key = f"phase1/{name}_20260225_000000.tab"
+    put(place.landing / key, tab_text([search(1, "v", "one"), sale(2, "v", 5)]))
+    place.run()
+    assert place.report() == {("google.com", "one", 5.0)}
+    assert place.outcomes() == {(key, "processed", None)} and os.path.exists(f"{place.out}/archive/{key}")
+
+
+def test_useless_headers_fail_alone(place):
+    good = tab_text([search(1, "v", "one"), sale(2, "v", 5)])
+    put(place.landing / "phase1" / "ok_20260225_000000.tab", good)
+    put(place.landing / "phase1" / "twice_20260225_000000.tab", good.replace("user_agent", "IP", 1))
+    put(place.landing / "phase1" / "blank_20260225_000000.tab", good.replace("user_agent", "", 1))
+    put(place.landing / "phase1" / "lines_20260225_000000.tab", "\n\n")
+    put(place.landing / "phase1" / "bare_20260225_000000.tab", good.split("\n")[0] + "\n")
+    for _ in range(2):
+        place.run()
+    assert place.report() == {("google.com", "one", 5.0)}
+    assert {(k.split("/")[1].split("_")[0], o) for k, o, _ in place.outcomes()} == {
+        ("ok", "processed"),
+        ("bare", "processed"),
+        ("twice", "failed"),
+        ("blank", "failed"),
+        ("lines", "failed"),
+    }
+
+
+def test_repeated_deliveries_are_all_kept(place):
+    for folder in ("a", "b", "c"):
+        put(place.landing / "phase1" / folder / "h_20260225_000000.tab", tab_text([search(1, folder, folder)]))
     place.run()
-    assert place.report() == {("google.com", "one", 11.0)}
-    assert len(os.listdir(place.landing / "phase1")) >= 2
+    found = [os.path.join(d, f) for d, _, names in os.walk(f"{place.out}/rejected") for f in names if not f.startswith(".")]
+    assert sorted(os.path.basename(f) for f in found) == ["h_20260225_000000.tab"] * 2 + ["reason.txt"] * 2
+    assert {open(f).read() for f in found if f.endswith(".txt")} == {"duplicate\n"}
 
 
 def test_bad_files_do_not_stop_good_ones(spark, place):
