@@ -9,6 +9,7 @@ import re
 import numpy as np
 import pytest
 
+from clicktrail.llm import components as components_module
 from clicktrail.llm import jaccard, passages, vectors
 from clicktrail.llm.components import components, forest
 
@@ -40,7 +41,7 @@ def family():
     for base in range(12):
         text = " ".join(rng.choice(WORDS) for _ in range(rng.choice([4, 9, 30, 120, 400])))
         rows += [(100 * (base + 1) + k, changed(text, rng, rng.randrange(0, 6)) if k else text.upper()) for k in range(14)]
-    rows += [(900, "a " * 20_000), (901, "a " * 19_000)]
+    rows += [(9000, "a " * 20_000), (9001, "a " * 19_000)]
     return rows
 
 
@@ -160,8 +161,12 @@ def test_no_vectors(vectors_table):
     assert vectors.near_vectors(table.withColumnRenamed("row", "unit")).first()[:3] == (1, 0, 1)
 
 
-def test_components_of_long_paths_and_stars(spark):
+@pytest.mark.parametrize("one_task", [200_000, 20])
+def test_components_of_long_paths_and_stars(spark, monkeypatch, one_task):
+    monkeypatch.setattr(components_module, "ONE_TASK", one_task)
     links = [(i, i + 1) for i in range(300)] + [(1000, i) for i in range(1001, 1200)] + [(5, 5), (7, None)]
-    got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    random.Random(2).shuffle(links)
+    table = spark.createDataFrame(links, "a long, b long").repartition(7)
+    got = {r.node: r.component for r in components(table).collect()}
     assert got == {i: 0 for i in range(301)} | {i: 1000 for i in range(1000, 1200)}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
