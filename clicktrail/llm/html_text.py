@@ -23,6 +23,7 @@ from clicktrail.llm.words import chunks
 SIGMA = 1.0
 RADIUS = 3
 THRESHOLD = 0.5  # standard deviations of the smoothed ratios
+EDGE_RATIO = 5.0  # characters for each tag that a line at the end of a region needs
 
 # HTML's elements by how they are laid out.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -77,9 +78,13 @@ class Lines(HTMLParser):
             if name == "hidden" or (name == "aria-hidden" and value == "true"):
                 return True
             if value and name in ("class", "id", "role"):
-                found = {w.lower() for w in _WORD.findall(value)}
-                if found & BOILERPLATE or (not self.inside and found & PAGE_HEADER):
-                    return tag not in ("body", "html", "article", "main") or bool(found & {"comment", "comments", "related", "sponsored", "ad"})
+                # Articles and pages often say that they have comments; only a name of their own makes them such.
+                own = tag in CONTAINER or tag in ("body", "html")
+                found = set(value.lower().split()) if own else {w.lower() for w in _WORD.findall(value)}
+                if found & BOILERPLATE and tag not in ("body", "html"):
+                    return True
+                if not own and not self.inside and found & PAGE_HEADER:
+                    return True
         return False
 
     def _pop(self) -> None:
@@ -138,14 +143,24 @@ def lines_of(html: str) -> list[tuple[str, int, int]]:
 
 
 def dense(lines: list[tuple[str, int, int]]) -> np.ndarray:
-    """Which lines' smoothed ratios of text to tags reach the threshold."""
+    """Which lines' smoothed ratios of text to tags reach the threshold.
+
+    Smoothing also lifts what stands beside a region; lines of links at its ends are given back.
+    """
     ratio = np.array([len(t) / max(1, n) for t, n, _ in lines])
     x = np.arange(-RADIUS, RADIUS + 1)
     kernel = np.exp(-0.5 * (x / SIGMA) ** 2)
     smooth = np.convolve(ratio, kernel / kernel.sum(), "full")[RADIUS : RADIUS + len(ratio)]
     # With little spread no line stands out: all have the page's density.
     limit = min(THRESHOLD * smooth.std(), smooth.max() / 2)
-    return (smooth >= limit) & np.array([bool(t) for t, *_ in lines])
+    picked = (smooth >= limit) & np.array([bool(t) for t, *_ in lines])
+    own = ratio >= min(limit, EDGE_RATIO)
+    for order in (range(len(lines)), range(len(lines) - 1, -1, -1)):
+        inside = False
+        for k in order:
+            inside = picked[k] and (inside or own[k])
+            picked[k] = inside
+    return picked
 
 
 def main_text(html: str | None) -> str:
