@@ -316,3 +316,17 @@ def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     groups = similar_documents(docs, words, percent)
     gone = staged(groups.where("doc_id != component_id").select(F.col("doc_id").alias("_doc")).distinct(), "gone")
     return join_small(docs, gone, F.col("doc_id") == F.col("_doc"), "left_anti")
+
+
+ORACLE = r"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS gram
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, least(len(w), 1) + 1))) AS i FROM d)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS (SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y USING (gram) WHERE x.doc_id <> y.doc_id GROUP BY ALL)
+      JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 90 * (na.n + nb.n - c)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) USING (doc_id)
+"""

@@ -363,3 +363,16 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, keep_text: bool = True
     else:
         parts = rows.join(cuts, on, "left").select("doc_id", "text", "cuts")
     return parts.mapInArrow(_cut(keep_text), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
+
+
+ORACLE = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+      lambda x: x <> '') AS w FROM documents),
+v AS (SELECT r, doc_id, i, array_to_string(w[i:i + 49], ' ') AS s
+      FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE doc_id IS NOT NULL)),
+f AS (SELECT s, min(doc_id) AS first FROM v GROUP BY s),
+c AS (SELECT r, list(DISTINCT p) AS gone FROM (SELECT r, unnest(range(i, i + 50)) AS p FROM v JOIN f USING (s) WHERE first < doc_id) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+       sha256(array_to_string(CASE WHEN gone IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(gone, i)) END, ' ')) AS kept_sha256
+FROM d LEFT JOIN c USING (r)
+"""

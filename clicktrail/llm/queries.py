@@ -83,4 +83,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": mixing.ORACLE, "op4_quality_rules": quality_rules.ORACLE}
+    """The others are not SQL: a parser, a trained model, a vocabulary's merges and weak supervision."""
+    return {
+        "op2_mixing": mixing.ORACLE,
+        "op3_sharding": sharding.ORACLE,
+        "op4_quality_rules": quality_rules.ORACLE,
+        "op5_jaccard_join": jaccard.ORACLE,
+        "op7_substring_dedup": passages.ORACLE,
+        "op10_embedding_neighbours": vectors.ORACLE,
+    }

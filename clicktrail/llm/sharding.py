@@ -94,3 +94,19 @@ def write_shards(docs: DataFrame, path: str, shards: int = 16) -> None:
     out.repartitionByRange("_shard", "_slot").sortWithinPartitions("_shard", "_slot").withColumnRenamed("_shard", "shard").drop(
         "_slot"
     ).write.partitionBy("shard").parquet(path)
+
+
+# The checksum byte by byte, from a table that its polynomial makes.
+ORACLE = r"""
+WITH t AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+      lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+d AS (SELECT row_number() OVER (ORDER BY doc_id NULLS FIRST) AS r, doc_id, strlen(coalesce(text, '')) + 1 AS size,
+      hex(encode(coalesce(text, ''))) AS h FROM documents),
+b AS (SELECT r, doc_id, size, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(size - 1),
+        lambda i: ('0x' || h[2 * i + 1:2 * i + 2])::BIGINT)), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) AS text_crc32
+      FROM d, t),
+s AS (SELECT *, (2 * (sum(size) OVER (ORDER BY r) - size) + size) * 16 // (2 * sum(size) OVER ()) AS cut FROM b)
+SELECT doc_id, size::BIGINT AS size, text_crc32, 'bytes' AS law, least(cut, 15)::INTEGER AS shard,
+       row_number() OVER (PARTITION BY least(cut, 15) ORDER BY r) - 1 AS slot, NULL::INTEGER AS grown_shard
+FROM s
+"""

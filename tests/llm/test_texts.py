@@ -52,7 +52,7 @@ def test_extract_table(spark):
 
 VOCABULARY = bpe.default_vocabulary()
 THEIRS = Tokenizer.from_file(VOCABULARY)
-OURS = bpe.tokenizer(VOCABULARY)
+OURS, BACK = bpe.encoder(VOCABULARY), bpe.decoder(VOCABULARY)
 
 
 @given(st.one_of(st.text(max_size=80), st.text(alphabet="aabet hn'sré🙂<|endoftext|>\n 1", max_size=120)))
@@ -63,7 +63,7 @@ def test_ids_equal_the_library(text):
     want = THEIRS.encode(text, add_special_tokens=False).ids
     got = OURS.encode(text)
     assert got == want
-    assert OURS.decode(np.array(got, np.int64)) == THEIRS.decode(want, skip_special_tokens=False) == text
+    assert BACK.decode(np.array(got, np.int64)) == THEIRS.decode(want, skip_special_tokens=False) == text
 
 
 def test_every_token_is_its_own_encoding():
@@ -155,3 +155,16 @@ def test_classifier_without_labels_and_on_odd_rows(documents, spark):
     labels = spark.createDataFrame([(1, None, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
     assert {r.score for r in quality_model.score_documents(docs, labels).collect()} == {0.5}
     assert quality_model.score_documents(docs.where("false"), labels).count() == 0
+
+
+def test_decoding_a_table_of_ids(documents):
+    docs = documents([(1, "le été"), (2, None)])
+    encoded = bpe.encode_documents(docs)
+    assert sorted(map(tuple, bpe.decode_documents(encoded).select("doc_id", "text").collect())) == [(1, "le été"), (2, "")]
+    assert sorted(bpe.round_trip(docs).collect()) == sorted(bpe.decode_documents(encoded).collect())
+
+
+def test_class_names_of_pages_and_articles():
+    page = '<body class="single comments-open"><article class="post comments-open">' + ARTICLE[9:].replace("</article>", "")
+    page += '<div class="adText">Buy</div></article><article class="comment">I do not agree with a word of it</article></body>'
+    assert html_text.main_text(page) == "A <title>\nFirst paragraph with a good number of words in it. More.\nShort."
