@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clicktrail.llm.store import staged
+from clicktrail.llm.store import join_small, staged
 from clicktrail.llm.words import chunks
 
 # The base kinds in their order, and the character classes of their patterns.
@@ -144,14 +145,23 @@ def candidates(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, i
     """(kind, start, end, features) of the candidates beside the base spans, each place of the first kind that has it."""
     if not _DIGIT.search(text) and "at" not in text:
         return []
-    taken = [(a, b) for _, a, b in base]
+    starts: list[int] = []  # of what is taken, in order and apart
+    ends: list[int] = []
+    for a, b in sorted((a, b) for _, a, b in base):
+        if ends and a < ends[-1]:
+            ends[-1] = max(b, ends[-1])
+        else:
+            starts.append(a)
+            ends.append(b)
     out = []
     for kind, pattern in _CANDIDATES.items():
         for m in pattern.finditer(text):
             a, b = m.span()
-            if any(a < y and x < b for x, y in taken):
+            k = bisect_left(starts, b)
+            if k and ends[k - 1] > a:
                 continue
-            taken.append((a, b))
+            starts.insert(k, a)
+            ends.insert(k, b)
             seen = votes(kind, m[0], text[max(0, a - CONTEXT_CHARS) : a], text[b : b + 2])
             out.append((kind, a, b, ",".join(map(str, features(kind, m[0], seen)))))
     return out
@@ -281,7 +291,7 @@ def redact(docs: DataFrame) -> DataFrame:
         F.transform("more", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"))),
     )
     spans = staged(found.select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), F.array_sort(both).alias("_spans")), "redact")
-    on = [F.col("doc_id").eqNullSafe(F.col("_doc")), F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_key")]
+    on = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_key"))
     # From left to right: what lies between the spans stays; overlapping spans become one, named by the first.
     text = F.expr(
         "aggregate(_spans, named_struct('out', '', 'at', 0L), (a, s) -> if(s.start >= a.at,"
@@ -289,7 +299,7 @@ def redact(docs: DataFrame) -> DataFrame:
         " named_struct('out', a.out, 'at', greatest(a.at, s.end))),"
         " a -> concat(a.out, substring(text, cast(a.at + 1 as int))))"
     )
-    out = docs.join(spans, on, "left").withColumn("text", F.when(F.col("_spans").isNotNull(), text).otherwise(F.col("text")))
+    out = join_small(docs, spans, on).withColumn("text", F.when(F.col("_spans").isNotNull(), text).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
     return out.select(*docs.columns)
