@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clicktrail.llm.store import join_small, staged
+from clicktrail.llm.store import carrying, join_small, staged, unpacked
 
 TEMPERATURE = 0.5
 SEED = 17
@@ -62,7 +62,9 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, seed:
     """
     rates = staged(repetition_rates(docs, weights).select(F.col("source").alias("_source"), "cdf"), "rates")
     digest = F.md5(F.coalesce(F.col("text"), F.lit("")))
-    drawn = docs.drop("copy", "order_key").withColumns({"_digest": digest, "_scan": F.monotonically_increasing_id()})
+    docs = docs.drop("copy", "order_key")
+    names = ["doc_id", "source", "text"]
+    drawn = carrying(docs, *names).withColumns({"_digest": digest, "_scan": F.monotonically_increasing_id()})
     drawn = join_small(drawn, rates.withColumnRenamed("cdf", "_cdf"), F.col("source").eqNullSafe(F.col("_source")))
     drawn = drawn.withColumn("_u", _unit(F.lit(seed), F.col("doc_id"), F.col("_digest")) / F.lit(float(2**52)))
     copies = drawn.withColumn("_n", F.expr("coalesce(size(filter(_cdf, c -> c <= _u)), 0)")).where("_n > 0")
@@ -70,8 +72,9 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, seed:
     copies = copies.withColumn("order_key", _unit(F.lit(seed + 1), F.col("doc_id"), F.col("_digest"), F.col("copy")))
     # The place in the scan deals out rows that are equal in everything else.
     key = F.xxhash64("order_key", "_scan")
-    shuffled = copies.drop("_digest", "_source", "_cdf", "_u", "_n").withColumn("_key", key).drop("_scan")
-    return shuffled.repartition("_key").sortWithinPartitions("order_key", "_key").drop("_key")
+    shuffled = copies.select(*names, "carried", "copy", "order_key", key.alias("_key"))
+    shuffled = shuffled.repartition("_key").sortWithinPartitions("order_key", "_key")
+    return shuffled.select(*unpacked(docs.columns, *names), "copy", "order_key")
 
 
 ORACLE = f"""

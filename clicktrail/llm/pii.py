@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clicktrail.llm.store import join_small, staged
+from clicktrail.llm.store import carrying, join_small, staged, unpacked, with_length
 from clicktrail.llm.words import chunks
 
 # The base kinds in their order, and the character classes of their patterns.
@@ -299,7 +299,7 @@ def redact(docs: DataFrame) -> DataFrame:
         " named_struct('out', a.out, 'at', greatest(a.at, s.end))),"
         " a -> concat(a.out, substring(text, cast(a.at + 1 as int))))"
     )
-    out = join_small(docs, spans, on).withColumn("text", F.when(F.col("_spans").isNotNull(), text).otherwise(F.col("text")))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
-    return out.select(*docs.columns)
+    names = ["doc_id", "text"]
+    out = join_small(carrying(docs, *names), spans, on)
+    out = out.withColumn("text", F.when(F.col("_spans").isNotNull(), text).otherwise(F.col("text")))
+    return with_length(out.select(*unpacked(docs.columns, *names)), docs)

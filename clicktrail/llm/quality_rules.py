@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clicktrail.llm.store import staged
+from clicktrail.llm.store import carrying, staged, unpacked, with_length
 
 #: A line is boilerplate if at least MIN_DOCS documents and LIMIT_PERCENT of its host's documents have it.
 MIN_DOCS = 5
@@ -166,10 +166,9 @@ def clean_documents(docs: DataFrame) -> DataFrame:
     text = F.when(F.col("_lines").isNull(), F.col("text")).otherwise(
         F.expr(rf"array_join(filter(split(text, '\\n'), x -> not array_contains(_lines, {_line_hash('x')})), '\n')")
     )
-    out = docs.join(kept, on).withColumn("text", text)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
-    return out.select(*docs.columns)
+    names = ["doc_id", "source", "text"]
+    out = carrying(docs, *names).join(kept, on).withColumn("text", text)
+    return with_length(out.select(*unpacked(docs.columns, *names)), docs)
 
 
 ORACLE = rf"""

@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clicktrail.llm.store import staged
+from clicktrail.llm.store import carrying, staged, unpacked
 
 
 def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -89,11 +89,10 @@ def write_shards(docs: DataFrame, path: str, shards: int = 16) -> None:
 
     ``doc_id`` must be unique here, since texts are joined with their places by it.
     """
-    places = staged(assign_shards(docs, shards).select("doc_id", F.col("shard").alias("_shard"), F.col("slot").alias("_slot")), "places")
-    out = docs.join(places, docs["doc_id"].eqNullSafe(places["doc_id"])).drop(places["doc_id"])
-    out.repartitionByRange("_shard", "_slot").sortWithinPartitions("_shard", "_slot").withColumnRenamed("_shard", "shard").drop(
-        "_slot"
-    ).write.partitionBy("shard").parquet(path)
+    places = assign_shards(docs, shards).select(F.col("doc_id").alias("_doc"), F.col("shard").alias("_shard"), F.col("slot").alias("_slot"))
+    out = carrying(docs, "doc_id").join(staged(places, "places"), F.col("doc_id").eqNullSafe(F.col("_doc")))
+    out = out.repartitionByRange("_shard", "_slot").sortWithinPartitions("_shard", "_slot")
+    out.select(*unpacked(docs.columns, "doc_id"), F.col("_shard").alias("shard")).write.partitionBy("shard").parquet(path)
 
 
 # The checksum byte by byte, from a table that its polynomial makes.
