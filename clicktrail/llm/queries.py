@@ -36,7 +36,7 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents at 90 percent of common three-word shingles."""
-    return jaccard.similar_documents(_table(spark, sf_dir, "documents"), words=3, percent=90)
+    return jaccard.similar_documents(_table(spark, sf_dir, "documents"), words=3, percent=90).drop("n_equal")
 
 
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
