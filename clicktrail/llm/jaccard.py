@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clicktrail.llm.components import components
-from clicktrail.llm.store import join_small, staged
+from clicktrail.llm.store import carrying, join_small, staged, unpacked
 from clicktrail.llm.words import chunks, find_words, mix
 
 WORDS = 5
@@ -91,21 +91,29 @@ def segment_keys(shingles: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(out)
 
 
+def bitmap(shingles: np.ndarray) -> bytes:
+    row = np.zeros(BITS, bool)
+    row[(shingles >> np.uint64(20)) % np.uint64(BITS)] = True
+    return np.packbits(row).tobytes()
+
+
 class Tree:
-    """Sets in leaves and nodes above them, as arrays by level, the leaves first."""
-
-    def __init__(self, sets: list[np.ndarray]):
-        bits = np.zeros((len(sets), BITS // 8), np.uint8)
-        for i, s in enumerate(sets):
-            row = np.zeros(BITS, bool)
-            row[(s >> np.uint64(20)) % np.uint64(BITS)] = True
-            bits[i] = np.packbits(row)
-        self.bits = bits.view(np.uint64)
-        self.size = np.array([len(s) for s in sets])
+    """Sets in leaves and nodes above them, as arrays by level, the leaves first.
+
+    Of a set it needs the id, the size and the bitmap; its shingles are there if links are to be exact.
+    """
+
+    def __init__(self, sets: list[tuple[int, int, bytes, np.ndarray | None]]):
+        sets = sorted(sets, key=lambda x: (x[1], x[0]))
+        self.ids = [x[0] for x in sets]
+        self.shingles = [x[3] for x in sets]
+        size = np.array([x[1] for x in sets])
+        bits = np.frombuffer(b"".join(x[2] for x in sets), np.uint64).reshape(len(sets), -1)
         # Shingles beyond the first on the same bit: the bits miss that much of an overlap at most.
-        self.extra = self.size - np.bitwise_count(self.bits).sum(1, dtype=np.int64)
+        extra = size - np.bitwise_count(bits).sum(1, dtype=np.int64)
+        self.sets = (bits, size, size, extra)
         at = np.arange(0, len(sets), LEAF)
-        bits, low, high, extra = self.bits, self.size, self.size, self.extra
+        bits, low, high, extra = self.sets
         self.levels = []
         while True:
             bits, low, high, extra = (
@@ -150,75 +158,88 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def join_trees(left: list[tuple[int, np.ndarray]], right: list[tuple[int, np.ndarray]] | None, percent: int) -> list[tuple[int, int]]:
-    """Links that connect all that the links between ``left`` and ``right`` (or within ``left``) connect."""
-    order = lambda x: (len(x[1]), int(x[1][0]), x[0])  # noqa: E731  near sets side by side
-    left = sorted(left, key=order)
-    right = sorted(right, key=order) if right is not None else None
-    other = left if right is None else right
-    tree_a = Tree([s for _, s in left])
-    tree_b = tree_a if right is None else Tree([s for _, s in right])
-    connected = Connected([i for i, _ in left] + [i for i, _ in other])
-    singles_a = (tree_a.bits, tree_a.size, tree_a.size, tree_a.extra)
-    singles_b = (tree_b.bits, tree_b.size, tree_b.size, tree_b.extra)
+def join_trees(left: list, right: list | None, percent: int) -> list[tuple[int, int]]:
+    """Links that connect all that the links between ``left`` and ``right`` (or within ``left``) connect.
+
+    Sets without their shingles link if their bitmaps and sizes allow it.
+    """
+    a = Tree(left)
+    b = a if right is None else Tree(right)
+    connected = Connected(a.ids + b.ids)
     links: list[tuple[int, int]] = []
-    todo = [(len(tree_a.levels) - 1, 0, len(tree_b.levels) - 1, 0)]
+    todo = [(len(a.levels) - 1, 0, len(b.levels) - 1, 0)]
     while todo:
         la, i, lb, j = todo.pop()
         if la == lb == 0:
-            rows = range(j * LEAF, min(len(other), (j + 1) * LEAF))
-            for p in range(i * LEAF, min(len(left), (i + 1) * LEAF)):
-                mine, here = left[p]
-                near = [q for q in rows if (right is not None or q > p) and connected.find(mine) != connected.find(other[q][0])]
+            rows = range(j * LEAF, min(len(b.ids), (j + 1) * LEAF))
+            for p in range(i * LEAF, min(len(a.ids), (i + 1) * LEAF)):
+                mine = a.ids[p]
+                near = [q for q in rows if (right is not None or q > p) and connected.find(mine) != connected.find(b.ids[q])]
                 if not near:
                     continue
                 near = np.array(near)
-                for q in near[_possible(singles_a, p, singles_b, near, percent)].tolist():
-                    there, set_q = other[q]
-                    if connected.find(mine) != connected.find(there) and similar(here, set_q, percent):
+                for q in near[_possible(a.sets, p, b.sets, near, percent)].tolist():
+                    there = b.ids[q]
+                    if connected.find(mine) == connected.find(there):
+                        continue
+                    if a.shingles[p] is None or similar(a.shingles[p], b.shingles[q], percent):
                         connected.join(mine, there)
                         links.append((mine, there))
             continue
         # The higher node is opened; of equals both sides of the pair are.
         if la >= lb:
-            kids = np.arange(i * FANOUT, min(len(tree_a.levels[la - 1][1]), (i + 1) * FANOUT))
-            fine = _possible(tree_b.levels[lb], j, tree_a.levels[la - 1], kids, percent)
+            kids = np.arange(i * FANOUT, min(len(a.levels[la - 1][1]), (i + 1) * FANOUT))
+            fine = _possible(b.levels[lb], j, a.levels[la - 1], kids, percent)
             todo += [(la - 1, k, lb, j) for k in kids[fine].tolist()]
         else:
-            kids = np.arange(j * FANOUT, min(len(tree_b.levels[lb - 1][1]), (j + 1) * FANOUT))
+            kids = np.arange(j * FANOUT, min(len(b.levels[lb - 1][1]), (j + 1) * FANOUT))
             if right is None:  # a pair of nodes of one tree is visited from one side
                 kids = kids[(kids + 1) * FANOUT ** (lb - 1) > i * FANOUT**la]
-            fine = _possible(tree_a.levels[la], i, tree_b.levels[lb - 1], kids, percent)
+            fine = _possible(a.levels[la], i, b.levels[lb - 1], kids, percent)
             todo += [(la, i, lb - 1, k) for k in kids[fine].tolist()]
     return links
 
 
-def _summaries(words: int, percent: int):
+def _summaries(words: int):
     def summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text"):
-            n, key, keys = [], [], []
+            n, key = [], []
             for s in sets_of(batch.column("text"), words):
                 n.append(len(s))
                 sums = [int(mix(s ^ k).sum(dtype=np.uint64)) for k in (_KEY_A, _KEY_B)]
                 key.append(b"".join(x.to_bytes(8) for x in sums))
-                keys.append(segment_keys(s, percent).view(np.int64))
-            ends = np.concatenate(([0], np.cumsum([len(k) for k in keys]))).astype(np.int32)
-            flat = pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), flat)],
-                names=["doc_id", "n", "key", "segments"],
+                [batch.column("doc_id"), batch.column("text_key"), pa.array(n, pa.int64()), pa.array(key, pa.binary())],
+                names=["doc_id", "text_key", "n", "key"],
             )
 
     return summaries
 
 
-def _sets(words: int):
+def _segments(words: int, percent: int):
+    def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, "text"):
+            keys = [segment_keys(s, percent).view(np.int64) for s in sets_of(batch.column("text"), words)]
+            ends = np.concatenate(([0], np.cumsum([len(k) for k in keys]))).astype(np.int32)
+            flat = pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), flat)], names=["node", "segments"])
+
+    return segments
+
+
+def _sets(words: int, exact: bool):
+    """Bitmaps of the members of cells, and their shingles where links are to be exact."""
+
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text"):
-            raw = [s.tobytes() for s in sets_of(batch.column("text"), words)]
+            found = list(sets_of(batch.column("text"), words))
+            columns = [
+                pa.array([len(s) for s in found], pa.int64()),
+                pa.array([bitmap(s) for s in found], pa.binary()),
+                pa.array([s.tobytes() if exact else None for s in found], pa.binary()),
+            ]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("cell"), batch.column("doc_id"), pa.array([len(r) // 8 for r in raw], pa.int64()), pa.array(raw, pa.binary())],
-                names=["cell", "doc_id", "n", "shingles"],
+                [batch.column("cell"), batch.column("doc_id"), *columns], names=["cell", "doc_id", "n", "bits", "shingles"]
             )
 
     return sets
@@ -237,13 +258,13 @@ def _compare(percent: int):
             )
 
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("cell", "i", "j", "side", "doc_id", "shingles"))
-            for cell, i, j, side, doc, raw in zip(*columns, strict=True):
+            columns = (batch.column(c).to_pylist() for c in ("cell", "i", "j", "side", "doc_id", "n", "bits", "shingles"))
+            for cell, i, j, side, doc, n, bits, raw in zip(*columns, strict=True):
                 if (cell, i, j) != task:
                     if task is not None:
                         yield links()
                     task, sides = (cell, i, j), ([], [])
-                sides[side].append((doc, np.frombuffer(raw, np.uint64)))
+                sides[side].append((doc, n, bits, None if raw is None else np.frombuffer(raw, np.uint64)))
         yield links()
 
     return compare
@@ -272,7 +293,7 @@ def _deal(sets: DataFrame, percent: int) -> DataFrame:
     lists = [
         f"transform(filter(sequence(0, {n}), x -> x < {n}), x -> named_struct('i', {i}, 'j', {j}, 'side', {side}))" for n, i, j, side in parts
     ]
-    return rows.withColumn("t", F.explode(F.expr(f"concat({', '.join(lists)})"))).select("cell", "t.i", "t.j", "t.side", "doc_id", "shingles")
+    return rows.withColumn("t", F.explode(F.expr(f"concat({', '.join(lists)})"))).select("cell", "t.i", "t.j", "t.side", "doc_id", "n", "bits", "shingles")
 
 
 def similar_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -283,31 +304,38 @@ def similar_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCEN
     repeat a doc_id follow their own text.  A null doc_id links with nothing and has a null component.
     Other columns are not read.
     """
-    texts = docs.select("doc_id", "text")
-    summary = staged(texts.mapInArrow(_summaries(words, percent), "doc_id long, n long, key binary, segments array<long>"), "summary")
+    texts = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), "text")
+    summary = staged(texts.mapInArrow(_summaries(words), "doc_id long, text_key long, n long, key binary"), "summary")
     nodes = summary.where("n > 0 and doc_id is not null").groupBy("key", "n")
-    nodes = staged(nodes.agg(F.min("doc_id").alias("node"), F.count("*").alias("n_equal"), F.first("segments").alias("segments")), "nodes")
-
-    keys = nodes.select(F.explode("segments").alias("segment"), "node")
+    nodes = staged(nodes.agg(F.min("doc_id").alias("node"), F.count("*").alias("n_equal")), "nodes")
+
+    # Of equal sets one goes on.
+    copies = summary.join(nodes, ["key", "n"]).where("doc_id != node").select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"))
+    known = texts.where("doc_id is not null")
+    single = join_small(known, staged(copies.distinct(), "copies"), (F.col("doc_id") == F.col("_doc")) & (F.col("text_key") == F.col("_key")), "left_anti")
+    keys = single.select("doc_id", "text").mapInArrow(_segments(words, percent), "node long, segments array<long>")
+    keys = keys.select(F.explode("segments").alias("segment"), "node")
     equal = Window.partitionBy("segment").orderBy("node")
     first = F.first("node").over(equal.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    hung = keys.withColumn("first", first).where("first != node").select("first", "node").distinct()
-    cells = staged(components(hung, "first", "node"), "cells")
+    cells = components(keys.withColumn("first", first).where("first != node").select("first", "node").distinct(), "first", "node")
 
-    members = join_small(texts.where("doc_id is not null"), cells.select(F.col("node").alias("_node"), F.col("component").alias("cell")), F.col("doc_id") == F.col("_node"), "inner")
-    sets = staged(members.select("cell", "doc_id", "text").mapInArrow(_sets(words), "cell long, doc_id long, n long, shingles binary"), "sets").where("n > 0")
-    dealt = _deal(sets, percent).repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j")
-    links = dealt.mapInArrow(_compare(percent), "a long, b long")
-    groups = components(links)
+    for exact in (False, True):
+        cells = staged(cells.select(F.col("node").alias("_node"), F.col("component").alias("cell")), "cells")
+        members = join_small(known, cells, F.col("doc_id") == F.col("_node"), "inner").select("cell", "doc_id", "text")
+        sets = members.mapInArrow(_sets(words, exact), "cell long, doc_id long, n long, bits binary, shingles binary").where("n > 0")
+        dealt = _deal(staged(sets, "sets"), percent).repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j")
+        links = dealt.mapInArrow(_compare(percent), "a long, b long")
+        cells = components(links)
+    groups = cells
 
     joined = summary.select("doc_id", "n", "key").join(nodes.select("key", "n", "node", "n_equal"), ["key", "n"], "left")
     joined = joined.join(groups.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left")
-    known = F.col("doc_id").isNotNull()
+    has_id = F.col("doc_id").isNotNull()
     return joined.select(
         "doc_id",
         F.col("n").alias("n_shingles"),
-        F.when(known, F.coalesce("component", "node", "doc_id")).alias("component_id"),
-        F.when(known, F.coalesce("n_equal", F.lit(1))).alias("n_equal"),
+        F.when(has_id, F.coalesce("component", "node", "doc_id")).alias("component_id"),
+        F.when(has_id, F.coalesce("n_equal", F.lit(1))).alias("n_equal"),
     )
 
 
@@ -315,7 +343,8 @@ def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     """``docs`` without the rows whose component has a smaller doc_id; of rows that repeat a kept doc_id all stay."""
     groups = similar_documents(docs, words, percent)
     gone = staged(groups.where("doc_id != component_id").select(F.col("doc_id").alias("_doc")).distinct(), "gone")
-    return join_small(docs, gone, F.col("doc_id") == F.col("_doc"), "left_anti")
+    kept = join_small(carrying(docs, "doc_id"), gone, F.col("doc_id") == F.col("_doc"), "left_anti")
+    return kept.select(*unpacked(docs.columns, "doc_id"))
 
 
 ORACLE = r"""

@@ -67,14 +67,18 @@ def test_similar_documents_on_odd_rows(documents):
 def test_trees_find_links_of_large_cells():
     rng = np.random.default_rng(3)
     base = np.unique(rng.integers(0, 2**63, 300).astype(np.uint64))
-    sets = [(i, np.unique(np.concatenate((rng.choice(base, 285, replace=False), rng.integers(0, 2**63, 5).astype(np.uint64))))) for i in range(60)]
-    sets += [(100 + i, np.unique(rng.integers(0, 2**63, 50 + i).astype(np.uint64))) for i in range(40)]
-    linked = [(a, b) for a, x in sets for b, y in sets if a < b and jaccard.similar(x, y, 90)]
-    want = plain_components([i for i, _ in sets], linked)
-    assert plain_components(want, jaccard.join_trees(sets, None, 90)) == want
+    sets = {i: np.unique(np.concatenate((rng.choice(base, 285, replace=False), rng.integers(0, 2**63, 5).astype(np.uint64)))) for i in range(60)}
+    sets |= {100 + i: np.unique(rng.integers(0, 2**63, 50 + i).astype(np.uint64)) for i in range(40)}
+    linked = [(a, b) for a, x in sets.items() for b, y in sets.items() if a < b and jaccard.similar(x, y, 90)]
+    want = plain_components(sets, linked)
+    rows = [(i, len(s), jaccard.bitmap(s), s) for i, s in sets.items()]
+    assert plain_components(want, jaccard.join_trees(rows, None, 90)) == want
     cross = [(a, b) for a, b in linked if (a % 2) != (b % 2)]
-    halves = [[s for s in sets if s[0] % 2 == k] for k in (0, 1)]
+    halves = [[s for s in rows if s[0] % 2 == k] for k in (0, 1)]
     assert plain_components(want, jaccard.join_trees(*halves, 90)) == plain_components(want, cross)
+    # Bitmaps alone connect at least as much, and leave unlike sets alone.
+    loose = plain_components(want, jaccard.join_trees([(*r[:3], None) for r in rows], None, 90))
+    assert all(loose[a] == loose[b] for a, b in linked) and all(loose[i] == i for i in range(100, 140))
 
 
 def plain_repeats(rows, window):
