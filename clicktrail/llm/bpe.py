@@ -24,9 +24,10 @@ from clicktrail.llm.words import chunks
 
 # Fixed value: the pattern by which byte-level tokenizers split text before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-PIECES_KEPT = 300_000  # encoded pieces that a Python worker remembers
-PAIRS_KEPT = 1_000_000  # entries of the pair table at a time
-DECODED_AT_ONCE = 1 << 18
+PIECES_KEPT = 70_000  # encoded pieces that a Python worker remembers, and as many from before
+PAIRS_KEPT = 200_000  # entries of the pair table at a time
+DECODED_AT_ONCE = 1 << 16
+CHUNK_BYTES = 1 << 20  # text encoded at a time
 
 
 def default_vocabulary() -> str:
@@ -42,21 +43,52 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in seen else next(hidden) for b in range(256)]
 
 
-class Bpe:
-    """Encoder and decoder of one vocabulary file; bytes are handled as Latin-1 strings."""
+def _read(path: str) -> tuple[dict, dict[str, int], dict[str, int], int]:
+    """The model, the ids of tokens (as Latin-1) and of special tokens, and the number of ids of a vocabulary file."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    letters = {ord(c): b for b, c in enumerate(byte_letters())}
+    vocab = {k.translate(letters): v for k, v in spec["model"]["vocab"].items()}
+    special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+    return spec["model"], vocab, special, 1 + max([*vocab.values(), *special.values()])
+
+
+class Decoder:
+    """The bytes of all tokens in one table, and where each begins."""
+
+    def __init__(self, path: str):
+        _, vocab, special, size = _read(path)
+        stored = [b""] * size
+        for s, i in vocab.items():
+            stored[i] = s.encode("latin-1")
+        for s, i in special.items():
+            stored[i] = s.encode()
+        self.bytes = np.frombuffer(b"".join(stored), np.uint8)
+        self.offset = np.concatenate(([0], np.cumsum([len(s) for s in stored])))
+
+    def decode(self, ids: np.ndarray) -> str:
+        """The text of ids; bytes that are no UTF-8 become U+FFFD."""
+        parts = []
+        for k in range(0, len(ids), DECODED_AT_ONCE):
+            some = ids[k : k + DECODED_AT_ONCE]
+            start = self.offset[some]
+            size = self.offset[some + 1] - start
+            ends = np.cumsum(size)
+            parts.append(self.bytes[np.repeat(start - (ends - size), size) + np.arange(ends[-1])].tobytes())
+        return b"".join(parts).decode("utf-8", "replace")
+
+
+class Encoder:
+    """The tokens of one vocabulary file; bytes are handled as Latin-1 strings."""
 
     def __init__(self, path: str):
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+        model, vocab, self.special, size = _read(path)
         letters = {ord(c): b for b, c in enumerate(byte_letters())}
-        vocab = {k.translate(letters): v for k, v in spec["model"]["vocab"].items()}
-        pairs = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         self.rank = {(vocab[a.translate(letters)], vocab[b.translate(letters)]): i for i, (a, b) in enumerate(pairs)}
         self.joined = {k: vocab[(pairs[i][0] + pairs[i][1]).translate(letters)] for k, i in self.rank.items()}
         self.single = {s: i for s, i in vocab.items() if len(s) == 1}
         self.vocab = vocab
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        size = 1 + max([*vocab.values(), *self.special.values()])
         self.name = [""] * size
         for s, i in vocab.items():
             self.name[i] = s
@@ -77,11 +109,7 @@ class Bpe:
         self.automaton.make_automaton()
         self.fits: dict[tuple[int, int], bool] = {}
         self.known: dict[str, tuple[int, ...]] = {}
-        stored = [s.encode("latin-1") for s in self.name]
-        for s, i in self.special.items():
-            stored[i] = s.encode()
-        self.bytes = np.frombuffer(b"".join(stored), np.uint8)
-        self.offset = np.concatenate(([0], np.cumsum([len(s) for s in stored])))
+        self.before: dict[str, tuple[int, ...]] = {}
         self.pattern = regex.compile(PATTERN)
         self.stops = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
 
@@ -170,30 +198,26 @@ class Bpe:
             for piece in self.pattern.findall(part):
                 ids = known.get(piece)
                 if ids is None:
-                    if len(known) >= PIECES_KEPT:
-                        known.clear()
-                    ids = tuple(self.encode_piece(piece.encode().decode("latin-1")))
+                    ids = self.before.get(piece) or tuple(self.encode_piece(piece.encode().decode("latin-1")))
                     if len(piece) <= 64:
                         known[piece] = ids
+                    if len(known) >= PIECES_KEPT:  # what is met again moves on from the pieces before
+                        self.before, self.known = known, {}
+                        known = self.known
                 out += ids
         return out
 
-    def decode(self, ids: np.ndarray) -> str:
-        """The text of ids, gathered from the table of offsets; bytes that are no UTF-8 become U+FFFD."""
-        parts = []
-        for k in range(0, len(ids), DECODED_AT_ONCE):
-            some = ids[k : k + DECODED_AT_ONCE]
-            start = self.offset[some]
-            size = self.offset[some + 1] - start
-            ends = np.cumsum(size)
-            parts.append(self.bytes[np.repeat(start - (ends - size), size) + np.arange(ends[-1])].tobytes())
-        return b"".join(parts).decode("utf-8", "replace")
 
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """One for each Python worker."""
+    return Encoder(path)
 
-@lru_cache(maxsize=2)
-def tokenizer(path: str) -> Bpe:
-    """One for each Python worker and file."""
-    return Bpe(path)
+
+@lru_cache(maxsize=1)
+def decoder(path: str) -> Decoder:
+    """One for each Python worker."""
+    return Decoder(path)
 
 
 def encode_documents(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
@@ -205,8 +229,8 @@ def encode_documents(docs: DataFrame, vocabulary: str | None = None) -> DataFram
     path = vocabulary or default_vocabulary()
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = tokenizer(path)
-        for batch in chunks(batches, "text"):
+        bpe = encoder(path)
+        for batch in chunks(batches, "text", CHUNK_BYTES):
             ids = [bpe.encode(t) if t else [] for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
@@ -218,7 +242,7 @@ def decode_documents(encoded: DataFrame, vocabulary: str | None = None) -> DataF
     path = vocabulary or default_vocabulary()
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = tokenizer(path)
+        bpe = decoder(path)
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
                 part = batch.slice(k, 256)
@@ -229,10 +253,25 @@ def decode_documents(encoded: DataFrame, vocabulary: str | None = None) -> DataF
     return encoded.select("doc_id", "ids").mapInArrow(decoded, "doc_id long, ids array<int>, text string")
 
 
+def round_trip(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
+    """doc_id, ids and the ``text`` that they decode to, of every row of ``docs``; one Python worker does both."""
+    path = vocabulary or default_vocabulary()
+
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        there, back = encoder(path), decoder(path)
+        for batch in chunks(batches, "text", CHUNK_BYTES):
+            ids = [np.array(there.encode(t) if t else [], np.int32) for t in batch.column("text").to_pylist()]
+            ends = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32)))
+            texts = pa.array([back.decode(x) if len(x) else "" for x in ids], pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists, texts], names=["doc_id", "ids", "text"])
+
+    return docs.select("doc_id", "text").mapInArrow(both, "doc_id long, ids array<int>, text string")
+
+
 def digests(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256: encoded and decoded again, of every row of ``docs``."""
-    rows = decode_documents(encode_documents(docs, vocabulary), vocabulary)
-    return rows.select(
+    return round_trip(docs, vocabulary).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),

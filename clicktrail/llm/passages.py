@@ -29,6 +29,7 @@ WINDOW = 50
 GRAM = 8
 #: Grams in more than one of so many documents rank last; a text has few hundred grams, so they are a bounded list.
 COMMON = 200
+COUNTED_BYTES = 4 << 20  # of text in which grams are counted together
 INDEX_WORDS = 1 << 20  # of an index, unless one gram has more
 
 _LAST = np.uint64(1 << 63)
@@ -197,7 +198,7 @@ class Index:
 
 def _common_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Grams in several documents of a chunk of text, and in how many."""
-    for batch in chunks(batches, "text"):
+    for batch in chunks(batches, "text", COUNTED_BYTES):
         words = find_words(batch.column("text"))
         keys, left = words.grams(GRAM) >> np.uint64(1), words.left()
         doc = np.repeat(np.arange(batch.num_rows, dtype=np.uint64), words.count())

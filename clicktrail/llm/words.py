@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 4 << 20  # text hashed at a time; a longer text is a chunk of its own
+CHUNK_BYTES = 1 << 20  # text hashed at a time; a longer text is a chunk of its own
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True

@@ -33,8 +33,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document's token ids and the text that they decode to."""
-    encoded = bpe.decode_documents(bpe.encode_documents(docs))
-    return encoded.selectExpr("doc_id", "cast(size(ids) as bigint) as n_tokens", "ids", "text")
+    return bpe.round_trip(docs).selectExpr("doc_id", "cast(size(ids) as bigint) as n_tokens", "ids", "text")
 
 
 STAGES = [

@@ -29,7 +29,7 @@ def test_run(spark, tmp_path):
     kept = spark.createDataFrame([(i, t, "en", "s0" if i >= 400 else f"s{i % 2}", 0) for i, t in texts.items()], docs.schema)
     times = Counter(r.doc_id for r in mixing.mix_sources(kept).collect())
     assert Counter(r.doc_id for r in got) == times
-    ours = bpe.tokenizer(bpe.default_vocabulary())
+    ours = bpe.encoder(bpe.default_vocabulary())
     for r in got:
         assert r.text == texts[r.doc_id] and list(r.ids) == ours.encode(r.text) and r.n_tokens == len(r.ids)
 
