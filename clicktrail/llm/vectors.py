@@ -2,8 +2,9 @@
 
 The vectors of a label are dealt into shards.  A task builds the hierarchical graph of one shard and
 answers a block of the label's vectors: a beam walks the graph, and is widened for the whole shard until an
-audit against brute force passes, and for one query while all it holds are links.  Links are verified by cosine in double precision;
-connected links become components.
+audit against brute force passes, and for one query while all it holds are links.  A shard whose audit never passes is answered by
+brute force.  Equal vectors of a label are one node with their number.  Links are verified by cosine in double precision; connected
+links become components.
 """
 
 from __future__ import annotations
@@ -123,17 +124,22 @@ class Graph:
 
 
 class Shard:
-    """A graph with the beam that its audit asks for."""
+    """A graph with the beam that its audit asks for; brute force if no beam passes."""
 
     def __init__(self, units: np.ndarray, beam: int = BEAM):
         self.units = units
         self.graph = Graph(units)
         self.beam = beam
-        while not self._passes() and self.beam < len(units):
+        self.exact = False
+        while not self.exact and not self._passes():
+            self.exact = self.beam >= len(units)
             self.beam *= 2
 
     def _passes(self) -> bool:
-        """Vectors moved to just inside the limit must lead back to all that brute force finds near them."""
+        """Vectors moved to just inside the limit must lead back to all that brute force finds near them.
+
+        Each vector counts alike, so that one with very many links does not hide others without theirs.
+        """
         rng = np.random.default_rng(7)
         rows = np.unique(np.linspace(0, len(self.units) - 1, AUDIT_ROWS).astype(int))
         noise = rng.normal(size=(len(rows), self.units.shape[1]))
@@ -143,10 +149,12 @@ class Shard:
         angle = math.acos(COSINE) * 0.95
         moved = math.cos(angle) * base + math.sin(angle) * np.where(size > 0, noise / np.where(size > 0, size, 1), base)
         there = moved @ self.units.T >= COSINE
-        found = sum(there[k, self.graph.within(q.astype(np.float32), COSINE, self.beam)].sum() for k, q in enumerate(moved))
-        return found >= AUDIT_RECALL * there.sum()
+        found = [there[k, self.graph.within(q.astype(np.float32), COSINE, self.beam)].sum() for k, q in enumerate(moved)]
+        return (found / np.maximum(1, there.sum(1)))[there.any(1)].sum() >= AUDIT_RECALL * there.any(1).sum()
 
     def links(self, q: np.ndarray) -> np.ndarray:
+        if self.exact:
+            return np.flatnonzero(self.units @ q >= COSINE)
         found = self.graph.within(q.astype(np.float32), COSINE, self.beam)
         return found[self.units[found] @ q >= COSINE]
 
@@ -157,9 +165,10 @@ _LINKED = "row long, n long, a long, b long"
 def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by task, a shard's own rows before the queries.
 
-    Gives (row, n) for every query that finds something, and (a, b) for links that connect what is found.
+    Gives (row, n) for every query that finds something, n being how many vectors equal the nodes found, and (a, b) for links that
+    connect what is found.
     """
-    task, rows, ids, units, shard = None, [], [], [], None
+    task, rows, ids, equal, units, shard = None, [], [], [], [], None
     counts: list[tuple[int, int]] = []
     pairs: list[tuple[int, int]] = []
 
@@ -175,20 +184,21 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         flat = batch.column("unit").flatten().to_numpy()
         matrix = flat.reshape(batch.num_rows, -1) if batch.num_rows else flat.reshape(0, 1)
-        columns = (batch.column(c).to_pylist() for c in ("task", "query", "row", "vec_id"))
-        for k, (t, query, row, vec) in enumerate(zip(*columns, strict=True)):
+        columns = (batch.column(c).to_pylist() for c in ("task", "query", "row", "vec_id", "n_equal"))
+        for k, (t, query, row, vec, n_equal) in enumerate(zip(*columns, strict=True)):
             if t != task:
-                task, rows, ids, units, shard = t, [], [], [], None
+                task, rows, ids, equal, units, shard = t, [], [], [], [], None
             if not query:
                 rows.append(row)
                 ids.append(vec)
+                equal.append(n_equal)
                 units.append(matrix[k].copy())
                 continue
             if shard is None:
                 shard = Shard(np.stack(units))
             found = [j for j in shard.links(matrix[k]).tolist() if rows[j] != row]
             if found:
-                counts.append((row, len(found)))
+                counts.append((row, sum(equal[j] for j in found)))
                 # A row that leads to its smallest link, and that to the others, connects as all of them would.
                 low = min(ids[j] for j in found)
                 pairs.append((vec, low))
@@ -214,8 +224,13 @@ def near_vectors(embeddings: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFra
     top = F.array_max(F.transform("v", F.abs))
     rows = rows.withColumn("v", F.when(F.col("fine"), F.transform("v", lambda x: x / top)))
     unit = F.when(F.col("fine"), F.transform("v", lambda x: x / norm))
-    vectors = staged(rows.select("vec_id", "label", "row", unit.alias("unit"), F.size("v").alias("d")), "vectors")
-    good = vectors.where("unit is not null")
+    rows = rows.select("vec_id", "label", "row", unit.alias("unit"), F.size("v").alias("d"))
+    keys = {"key_a": F.when(F.col("unit").isNotNull(), F.xxhash64("unit")), "key_b": F.when(F.col("unit").isNotNull(), F.xxhash64(F.lit(1), "unit"))}
+    vectors = staged(rows.withColumns(keys), "vectors")
+    same = ["label", "d", *keys]
+    good = vectors.where("unit is not null").groupBy(*same)
+    good = good.agg(F.min("row").alias("row"), F.min("vec_id").alias("vec_id"), F.count("*").alias("n_equal"), F.first("unit").alias("unit"))
+    good = staged(good, "nodes")
 
     sizes = good.groupBy("label", "d").count()
     sizes = sizes.withColumns(
@@ -227,7 +242,7 @@ def near_vectors(embeddings: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFra
     placed = join_small(good, sizes, ["label", "d"], "inner").withColumns(
         {"shard": F.pmod(F.xxhash64("row"), "shards"), "block": F.pmod(F.xxhash64("row", F.lit(1)), "blocks")}
     )
-    columns = ["row", "vec_id", "unit"]
+    columns = ["row", "vec_id", "n_equal", "unit"]
     number = F.col("first") + F.col("shard") * F.col("blocks") + F.col("block")
     index = placed.withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)"))).select(number.alias("task"), F.lit(False).alias("query"), *columns)
     asked = placed.withColumn("shard", F.explode(F.expr("sequence(0, shards - 1)"))).select(number.alias("task"), F.lit(True).alias("query"), *columns)
@@ -235,8 +250,11 @@ def near_vectors(embeddings: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFra
     found = staged(dealt.mapInArrow(_search, _LINKED), "found")
 
     counts = found.where("row is not null").groupBy("row").agg(F.sum("n").alias("n"))
-    groups = components(found.where("a is not null"))
-    out = vectors.select("vec_id", "row").join(counts, "row", "left")
+    # A row has the links of its node, and its equals; it is connected with the smallest id of these.
+    nodes = good.join(counts, "row", "left").select(*same, F.col("vec_id").alias("first"), (F.coalesce("n", F.lit(0)) + F.col("n_equal") - 1).alias("n"))
+    out = staged(join_small(vectors.drop("unit"), staged(nodes, "counts"), same).select("vec_id", "first", "n"), "rows")
+    links = found.where("a is not null").select("a", "b").union(out.where("first != vec_id").select("vec_id", "first"))
+    groups = components(links)
     out = out.join(groups, out["vec_id"] == groups["node"], "left")
     component = F.coalesce("component", "vec_id")
     return out.select(

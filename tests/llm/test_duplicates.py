@@ -159,6 +159,30 @@ def test_near_vectors_equal_brute_force(vectors_table, monkeypatch, shard, block
     assert sorted((str(r.vec_id), r.n_links, r.component_id, r.kept) for r in got) == plain_vectors(rows)
 
 
+def test_the_audit_sees_vectors_beside_a_hot_group(monkeypatch):
+    rng = np.random.default_rng(4)
+    units = rng.normal(size=(1200, 16))
+    units[::3] = units[0] + rng.normal(size=(400, 16)) * 1e-3
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    units[2] = units[1] + 0.01 * units[4]
+    units[2] /= np.linalg.norm(units[2])
+    hot = np.arange(0, 1200, 3)
+    monkeypatch.setattr(vectors.Graph, "within", lambda self, q, least, width: hot)  # blind to all but the hot group
+    shard = vectors.Shard(units)
+    for k in (0, 1, 2, 5):
+        assert shard.links(units[k]).tolist() == np.flatnonzero(units @ units[k] >= vectors.COSINE).tolist()
+
+
+def test_a_third_of_equal_vectors(vectors_table):
+    rng = np.random.default_rng(12)
+    pairs = rng.normal(size=(100, 16))
+    hot = rng.normal(size=16)
+    rows = [(i, (hot if i % 3 == 0 else pairs[i % 100] + rng.normal(size=16) * 0.02).tolist(), 0) for i in range(450)]
+    rows += [(1000, (hot + 0.02 * pairs[0]).tolist(), 0), (1000, rows[1][1], 0), (0, rows[2][1], 1), (2, rows[2][1], 1)]
+    got = vectors.near_vectors(vectors_table(rows)).collect()
+    assert sorted((str(r.vec_id), r.n_links, r.component_id, r.kept) for r in got) == plain_vectors(rows)
+
+
 def test_no_vectors(vectors_table):
     table = vectors_table([(1, [1.0], 0)])
     assert vectors.near_vectors(table.where("false")).count() == 0
