@@ -182,21 +182,22 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["row", "n", "a", "b"])
 
     for batch in batches:
-        flat = batch.column("unit").flatten().to_numpy()
-        matrix = flat.reshape(batch.num_rows, -1) if batch.num_rows else flat.reshape(0, 1)
+        # Tasks of other lengths may share the batch.
+        flat, ends = batch.column("unit").values.to_numpy(), batch.column("unit").offsets.to_numpy()
         columns = (batch.column(c).to_pylist() for c in ("task", "query", "row", "vec_id", "n_equal"))
         for k, (t, query, row, vec, n_equal) in enumerate(zip(*columns, strict=True)):
+            unit = flat[ends[k] : ends[k + 1]]
             if t != task:
                 task, rows, ids, equal, units, shard = t, [], [], [], [], None
             if not query:
                 rows.append(row)
                 ids.append(vec)
                 equal.append(n_equal)
-                units.append(matrix[k].copy())
+                units.append(unit.copy())
                 continue
             if shard is None:
                 shard = Shard(np.stack(units))
-            found = [j for j in shard.links(matrix[k]).tolist() if rows[j] != row]
+            found = [j for j in shard.links(unit).tolist() if rows[j] != row]
             if found:
                 counts.append((row, sum(equal[j] for j in found)))
                 # A row that leads to its smallest link, and that to the others, connects as all of them would.

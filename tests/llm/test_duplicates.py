@@ -7,6 +7,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from clicktrail.llm import components as components_module
@@ -183,6 +184,18 @@ def test_a_third_of_equal_vectors(vectors_table):
     assert sorted((str(r.vec_id), r.n_links, r.component_id, r.kept) for r in got) == plain_vectors(rows)
 
 
+def test_vectors_of_several_lengths_in_a_batch(vectors_table):
+    rng = np.random.default_rng(6)
+    rows = [(100 * d + i, (np.arange(1, d + 1) + rng.normal(size=d) * 0.3).tolist(), 0) for d in (2, 3, 5, 16) for i in range(20)]
+    table = vectors_table(rows)
+    part = lambda d, query: [{"task": d, "query": query, "row": d + i, "vec_id": d + i, "n_equal": 1, "unit": [1.0] + [0.0] * (d - 1)} for i in (0, 1)]
+    batch = pa.RecordBatch.from_pylist([r for d in (2, 16) for query in (False, True) for r in part(d, query)])
+    found = [r for b in vectors._search(iter([batch.slice(0, 3), batch.slice(3)])) for r in b.to_pylist()]
+    assert sorted((r["row"], r["n"]) for r in found if r["row"] is not None) == [(2, 1), (3, 1), (16, 1), (17, 1)]
+    got = vectors.near_vectors(table).collect()
+    assert sorted((str(r.vec_id), r.n_links, r.component_id, r.kept) for r in got) == plain_vectors(rows)
+
+
 def test_no_vectors(vectors_table):
     table = vectors_table([(1, [1.0], 0)])
     assert vectors.near_vectors(table.where("false")).count() == 0
