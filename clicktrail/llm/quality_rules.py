@@ -2,7 +2,8 @@
 
 Lines are normalised and hashed, and the distinct documents of a host that have a line are
 counted.  Lines that too many of them share are removed, and a document that loses most of
-its words with them is rejected.  Everything is SQL expressions.
+its words with them is rejected.  Everything is SQL expressions, but for the groups of near copies
+that cleaning counts once.
 """
 
 from __future__ import annotations
@@ -10,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clicktrail.llm.store import carrying, staged, unpacked, with_length
+from clicktrail.llm.jaccard import similar_documents
+from clicktrail.llm.store import carrying, join_small, staged, unpacked, with_length
 
 #: A line is boilerplate if at least MIN_DOCS documents and LIMIT_PERCENT of its host's documents have it.
 MIN_DOCS = 5
@@ -92,22 +94,40 @@ def base_failed() -> Column:
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
-def frequent_lines(base: DataFrame) -> DataFrame:
+def near_copies(docs: DataFrame) -> DataFrame:
+    """text_key, group of the texts that are near copies of another one, as the near-duplicate stage links them.
+
+    Texts go by their hash, whatever their doc_id.
+    """
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text")).select(F.xxhash64("text").alias("doc_id"), "text")
+    groups = similar_documents(staged(texts.dropDuplicates(["doc_id"]), "texts"))
+    groups = groups.where("doc_id != component_id").select(F.col("doc_id").alias("text_key"), F.col("component_id").alias("group"))
+    return staged(groups, "groups")
+
+
+def frequent_lines(base: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """host, line: the lines that more of a host's distinct documents have than the limits allow.
 
-    Copies of a text on a host are one document.  Hot hosts and lines combine before they are shuffled.
+    Copies of a text on a host are one document, and so are near copies if their ``groups`` are given.  Hot hosts and
+    lines combine before they are shuffled.
     """
     texts = base.groupBy("host", "text_key").agg(F.first("lines").alias("lines"))
-    totals = texts.groupBy("host").agg(F.count("*").alias("n_docs"))
-    lines = texts.select("host", F.explode(F.expr("array_distinct(transform(lines, x -> x.line))")).alias("line"))
-    counts = lines.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_DOCS)
+    line = F.explode(F.expr("array_distinct(transform(lines, x -> x.line))")).alias("line")
+    if groups is None:
+        totals = texts.groupBy("host").agg(F.count("*").alias("n_docs"))
+        counts = texts.select("host", line).groupBy("host", "line").agg(F.count("*").alias("n"))
+    else:
+        texts = join_small(texts, groups, "text_key", "left").withColumn("doc", F.coalesce("group", "text_key"))
+        totals = texts.groupBy("host").agg(F.count_distinct("doc").alias("n_docs"))
+        counts = texts.select("host", "doc", line).groupBy("host", "line").agg(F.count_distinct("doc").alias("n"))
+    counts = counts.where(F.col("n") >= MIN_DOCS)
     limits = counts.join(totals.withColumnRenamed("host", "_host"), F.col("host").eqNullSafe(F.col("_host")))
     return limits.where(100 * F.col("n") >= LIMIT_PERCENT * F.col("n_docs")).select("host", "line")
 
 
-def judge(base: DataFrame) -> DataFrame:
+def judge(base: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """doc_id, host, text_key of every distinct document with frequent lines, these lines and its words in them."""
-    frequent = staged(frequent_lines(base), "frequent").select(F.col("host").alias("_host"), F.col("line").alias("_line"))
+    frequent = staged(frequent_lines(base, groups), "frequent").select(F.col("host").alias("_host"), F.col("line").alias("_line"))
     texts = base.select("doc_id", "host", "text_key", "lines").dropDuplicates(["doc_id", "host", "text_key"])
     rows = texts.select("doc_id", "host", "text_key", F.explode("lines").alias("x")).select("doc_id", "host", "text_key", "x.*")
     hits = rows.join(frequent, (F.col("line") == F.col("_line")) & F.col("host").eqNullSafe(F.col("_host")))
@@ -147,10 +167,12 @@ def apply_rules(docs: DataFrame) -> DataFrame:
 def clean_documents(docs: DataFrame) -> DataFrame:
     """The documents that the rules keep, with their columns, without the frequent lines of their host.
 
+    Unlike in the verdicts of :func:`apply_rules`, near copies count once, so that a group of them is left to the
+    stage that keeps one of it.
     ``n_chars`` follows the text where ``docs`` has it.
     """
     base = staged(base_counts(docs).withColumn("failed", base_failed()), "base")
-    verdicts = judge(base)
+    verdicts = judge(base, near_copies(docs))
     depleted = _with_verdicts(
         base.select("doc_id", "host", "text_key", "n_words", "failed").dropDuplicates(["doc_id", "host", "text_key"]), verdicts
     )

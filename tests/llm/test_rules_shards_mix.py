@@ -9,7 +9,7 @@ from collections import Counter
 
 import pytest
 
-from clicktrail.llm import mixing, quality_rules, sharding
+from clicktrail.llm import jaccard, mixing, quality_rules, sharding
 
 PROSE = " ".join(f"word{i} of text{i * 7 % 31} and" for i in range(30))
 
@@ -54,6 +54,23 @@ def test_copies_of_a_text_are_one_document_of_a_host(documents):
     assert all(r.kept for r in quality_rules.apply_rules(documents(docs)).collect())
 
 
+def near_copies_of_lines(n):
+    """Texts of ten lines of 12 words, each with one word of its own, in any of the lines."""
+    shared = [" ".join(f"g{j}w{k}" for k in range(12)) for j in range(10)]
+    return ["\n".join(f"{x} own{i}" if j == i % 10 else x for j, x in enumerate(shared)) for i in range(n)]
+
+
+@pytest.mark.parametrize("n", [10, 40])
+def test_near_copies_count_once(documents, n):
+    template = "Read our letter and " + " ".join(f"b{i}" for i in range(20))
+    docs = [(i, t, "h") for i, t in enumerate(near_copies_of_lines(n))] + [(None, near_copies_of_lines(1)[0], "h"), (0, None, "h")]
+    docs += [(100 + i, template + "\n" + " ".join(f"d{i}w{k}" for k in range(100)), "h") for i in range(6)]
+    clean = {r.doc_id: r.text for r in quality_rules.clean_documents(documents(docs)).collect()}
+    assert all(clean.get(i) == t for i, t, _ in docs[: n + 1])
+    assert all(clean[100 + i] == " ".join(f"d{i}w{k}" for k in range(100)) for i in range(6))
+    assert [r.doc_id for r in jaccard.one_of_each(quality_rules.clean_documents(documents(docs))).collect() if r.doc_id is not None and r.doc_id < 100] == [0]
+
+
 def test_empty_tables(documents):
     empty = documents([(1, "x")]).where("false")
     assert quality_rules.apply_rules(empty).count() == 0
