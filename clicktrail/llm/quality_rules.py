@@ -17,6 +17,8 @@ from clicktrail.llm.store import carrying, join_small, staged, unpacked, with_le
 #: A line is boilerplate if at least MIN_DOCS documents and LIMIT_PERCENT of its host's documents have it.
 MIN_DOCS = 5
 LIMIT_PERCENT = 2
+#: Where near copies count once, it is boilerplate in so many documents whatever their share.
+MANY_DOCS = 50
 #: A document is depleted if fewer than this share of its words is left.
 LEFT_PERCENT = 50
 
@@ -108,8 +110,8 @@ def near_copies(docs: DataFrame) -> DataFrame:
 def frequent_lines(base: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """host, line: the lines that more of a host's distinct documents have than the limits allow.
 
-    Copies of a text on a host are one document, and so are near copies if their ``groups`` are given.  Hot hosts and
-    lines combine before they are shuffled.
+    Copies of a text on a host are one document, and so are near copies if their ``groups`` are given; then MANY_DOCS
+    documents are enough on any host.  Hot hosts and lines combine before they are shuffled.
     """
     texts = base.groupBy("host", "text_key").agg(F.first("lines").alias("lines"))
     line = F.explode(F.expr("array_distinct(transform(lines, x -> x.line))")).alias("line")
@@ -122,7 +124,8 @@ def frequent_lines(base: DataFrame, groups: DataFrame | None = None) -> DataFram
         counts = texts.select("host", "doc", line).groupBy("host", "line").agg(F.count_distinct("doc").alias("n"))
     counts = counts.where(F.col("n") >= MIN_DOCS)
     limits = counts.join(totals.withColumnRenamed("host", "_host"), F.col("host").eqNullSafe(F.col("_host")))
-    return limits.where(100 * F.col("n") >= LIMIT_PERCENT * F.col("n_docs")).select("host", "line")
+    share = 100 * F.col("n") >= LIMIT_PERCENT * F.col("n_docs")
+    return limits.where(share if groups is None else share | (F.col("n") >= MANY_DOCS)).select("host", "line")
 
 
 def judge(base: DataFrame, groups: DataFrame | None = None) -> DataFrame:
@@ -168,7 +171,7 @@ def clean_documents(docs: DataFrame) -> DataFrame:
     """The documents that the rules keep, with their columns, without the frequent lines of their host.
 
     Unlike in the verdicts of :func:`apply_rules`, near copies count once, so that a group of them is left to the
-    stage that keeps one of it.
+    stage that keeps one of it, and a line in MANY_DOCS documents is frequent on a host of any size.
     ``n_chars`` follows the text where ``docs`` has it.
     """
     base = staged(base_counts(docs).withColumn("failed", base_failed()), "base")

@@ -71,6 +71,12 @@ def test_near_copies_count_once(documents, n):
     assert [r.doc_id for r in jaccard.one_of_each(quality_rules.clean_documents(documents(docs))).collect() if r.doc_id is not None and r.doc_id < 100] == [0]
 
 
+def test_many_documents_make_boilerplate_on_a_large_host(documents):
+    docs = [(i, ("All rights reserved here\n" if i < 60 else "") + " ".join(f"d{i}w{k}" for k in range(52)), "h") for i in range(3100)]
+    clean = {r.doc_id: r.text for r in quality_rules.clean_documents(documents(docs)).collect()}
+    assert clean == {i: " ".join(f"d{i}w{k}" for k in range(52)) for i in range(3100)}
+
+
 def test_empty_tables(documents):
     empty = documents([(1, "x")]).where("false")
     assert quality_rules.apply_rules(empty).count() == 0
