@@ -86,7 +86,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) of the base kinds, by kind, then start."""
     out = [("email", a, b) for a, b in _emails(text)] if "@" in text else []
     if _DIGIT.search(text):
-        out += [("ip", *m.span()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) < 4 and int(p) <= 255 for p in m[0].split("."))]
+        out += [("ip", *m.span()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) < 4 and int(p.lstrip("0") or "0") <= 255 for p in m[0].split("."))]
         for m in _CARD.finditer(text):
             digits = m[0].replace(" ", "").replace("-", "")
             if 13 <= len(digits) <= 19 and luhn(digits):

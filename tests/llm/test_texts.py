@@ -168,3 +168,8 @@ def test_class_names_of_pages_and_articles():
     page = '<body class="single comments-open"><article class="post comments-open">' + ARTICLE[9:].replace("</article>", "")
     page += '<div class="adText">Buy</div></article><article class="comment">I do not agree with a word of it</article></body>'
     assert html_text.main_text(page) == "A <title>\nFirst paragraph with a good number of words in it. More.\nShort."
+
+
+def test_long_zeros_before_a_dot_pattern():
+    text = "0" * 5000 + ".1.2.3 and 10.0.0.255"
+    assert [x for x in pii.base_spans(text) if x[0] == "ip"][-1] == ("ip", len(text) - 10, len(text))
