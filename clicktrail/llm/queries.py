@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clicktrail.llm import bpe, html_text, jaccard, mixing, passages, pii, quality_model, quality_rules, sharding, vectors
+from clicktrail.llm import (
+    bpe,
+    html_text,
+    imatch,
+    jaccard,
+    mixing,
+    passages,
+    periods,
+    pii,
+    quality_model,
+    quality_rules,
+    sharding,
+    vectors,
+    whitening,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +78,21 @@ def op10_embedding_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first four whitened components of every embedding."""
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and how alike they are."""
+    return imatch.edit_likeness(_table(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, every tenth of them with a repeated tail."""
+    return periods.periodic_runs(_table(spark, sf_dir, "documents"), tail=True, keep_text=False).drop("runs")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -78,12 +107,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_bpe,
             op9_pii,
             op10_embedding_neighbours,
+            op11_embedding_whitening,
+            op12_fingerprints,
+            op13_periodic_runs,
         )
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    """The others are not SQL: a parser, a trained model, a vocabulary's merges and weak supervision."""
+    """The others are not SQL: a parser, a trained model, a vocabulary's merges, weak supervision, eigenvectors, fingerprints and runs."""
     return {
         "op2_mixing": mixing.ORACLE,
         "op3_sharding": sharding.ORACLE,
