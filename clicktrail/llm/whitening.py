@@ -22,7 +22,7 @@ from clicktrail.llm.store import staged
 SCALE = 256
 COMPONENTS = 4
 #: Columns of a block beyond the wanted ones.
-GUARD = 8
+GUARD = 28
 ROUNDS = 6  # of a block, before it grows
 LARGEST_DEGREE = 24
 #: Residual over the distance to the nearest other eigenvalue; and residual over the largest eigenvalue that rounding leaves.
@@ -83,12 +83,12 @@ def _moments(fit: DataFrame, width: int) -> tuple[int, list[int]]:
     return found.get(-1, 0), [found.get(k, 0) for k in range(width)]
 
 
-def _degree(values: np.ndarray, wanted: int, edge: float) -> int:
-    """Of a filter that lifts the wanted eigenvalues far above [0, edge], the largest of them not too far above the least."""
+def _degree(values: np.ndarray, wanted: int, edge: float, lift: float) -> int:
+    """Of a filter that lifts the wanted eigenvalues so far above [0, edge], but the largest of them not too far above the least."""
     t = [math.acosh(max(1.0, 2 * v / edge - 1)) for v in (values[0], values[wanted - 1])]
     if t[1] <= 0:
         return LARGEST_DEGREE
-    m = math.ceil(math.acosh(1e8) / t[1])
+    m = math.ceil(math.acosh(min(1e8, max(100.0, lift))) / t[1])
     if t[0] > t[1]:
         m = min(m, int(math.log(1e9) / (t[0] - t[1])))
     return max(2, min(LARGEST_DEGREE, m))
@@ -116,9 +116,9 @@ def principal(multiply: Callable[[np.ndarray], np.ndarray], width: int, wanted:
         residual = np.linalg.norm(product - block * values, axis=0)[:real]
         apart = np.abs(values[:real, None] - values[None, :])
         apart[np.arange(real), np.arange(real)] = np.inf
-        fine = (residual <= CLOSE * apart.min(1)) | (residual <= ROUNDED * math.sqrt(width) * values[0])
+        allowed = np.maximum(CLOSE * apart.min(1), ROUNDED * math.sqrt(width) * values[0])
         # One round at least, so that the columns have seen the matrix.
-        if size == width or (rounds and fine.all()):
+        if size == width or (rounds and (residual <= allowed).all()):
             return values[:real], block[:, :real]
         rounds += 1
         if rounds > ROUNDS:
@@ -134,7 +134,7 @@ def principal(multiply: Callable[[np.ndarray], np.ndarray], width: int, wanted:
             half = edge / 2
             first = sigma = half / (values[0] - half)
             before, now = block, (product - half * block) * (sigma / half)
-            for _ in range(_degree(values, real, edge) - 1):
+            for _ in range(_degree(values, real, edge, 10 * float((residual / allowed).max())) - 1):
                 new = 1 / (2 / first - sigma)
                 before, now = now, 2 * (new / half) * (multiply(now) - half * now) - sigma * new * before
                 sigma = new
