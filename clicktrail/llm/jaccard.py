@@ -296,14 +296,8 @@ def _deal(sets: DataFrame, percent: int) -> DataFrame:
     return rows.withColumn("t", F.explode(F.expr(f"concat({', '.join(lists)})"))).select("cell", "t.i", "t.j", "t.side", "doc_id", "n", "bits", "shingles")
 
 
-def similar_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id, n_equal of every row of ``docs``; rows link at a Jaccard similarity of ``percent`` or more.
-
-    Null and empty texts and texts without words have no shingles, link with nothing and are their own
-    component.  Equal sets are one node, whatever their number (``n_equal``), so copies are compared once.  Rows that
-    repeat a doc_id follow their own text.  A null doc_id links with nothing and has a null component.
-    Other columns are not read.
-    """
+def _classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """doc_id, text_key, n, key, node, n_equal, component of every row; and the table of equal sets."""
     texts = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), "text")
     summary = staged(texts.mapInArrow(_summaries(words), "doc_id long, text_key long, n long, key binary"), "summary")
     nodes = summary.where("n > 0 and doc_id is not null").groupBy("key", "n")
@@ -326,12 +320,20 @@ def similar_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCEN
         dealt = _deal(staged(sets, "sets"), percent).repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j")
         links = dealt.mapInArrow(_compare(percent), "a long, b long")
         cells = components(links)
-    groups = cells
+    joined = summary.join(nodes.select("key", "n", "node", "n_equal"), ["key", "n"], "left")
+    return joined.join(cells.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").drop("_node"), nodes
 
-    joined = summary.select("doc_id", "n", "key").join(nodes.select("key", "n", "node", "n_equal"), ["key", "n"], "left")
-    joined = joined.join(groups.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left")
+
+def similar_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id, n_equal of every row of ``docs``; rows link at a Jaccard similarity of ``percent`` or more.
+
+    Null and empty texts and texts without words have no shingles, link with nothing and are their own
+    component.  Equal sets are one node, whatever their number (``n_equal``), so copies are compared once.  Rows that
+    repeat a doc_id follow their own text.  A null doc_id links with nothing and has a null component.
+    Other columns are not read.
+    """
     has_id = F.col("doc_id").isNotNull()
-    return joined.select(
+    return _classes(docs, words, percent)[0].select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(has_id, F.coalesce("component", "node", "doc_id")).alias("component_id"),
@@ -340,11 +342,36 @@ def similar_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCEN
 
 
 def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``docs`` without the rows whose component has a smaller doc_id; of rows that repeat a kept doc_id all stay."""
-    groups = similar_documents(docs, words, percent)
-    gone = staged(groups.where("doc_id != component_id").select(F.col("doc_id").alias("_doc")).distinct(), "gone")
-    kept = join_small(carrying(docs, "doc_id"), gone, F.col("doc_id") == F.col("_doc"), "left_anti")
-    return kept.select(*unpacked(docs.columns, "doc_id"))
+    """One row of each component: of the smallest doc_id, and of equal rows of it any one.
+
+    Rows without words link with nothing; only repeats of a doc_id and text go.  A null doc_id stands behind all others:
+    its row goes where another row has the same set, and of the rest one row of each set stays, also of the empty one.
+    Rows of one doc_id with different texts follow their own text each.
+    """
+    classes, nodes = _classes(docs, words, percent)
+    classes = staged(classes.select("doc_id", "text_key", "n", "key", F.coalesce("component", "node", "doc_id").alias("component")), "classes")
+    pair = ["doc_id", "text_key"]
+    names = {"doc_id": "_doc", "text_key": "_key"}
+    gone = staged(classes.where("doc_id != component").select(*pair).distinct().withColumnsRenamed(names), "gone")
+    counts = classes.where("doc_id = component").groupBy(*pair).count()
+    repeats = staged(counts.where("count > 1").select(*pair).withColumnsRenamed(names), "repeats")
+    alone = classes.where("doc_id is null").groupBy("key", "n").agg(F.min("text_key").alias("_key"))
+    alone = staged(alone.join(nodes.select("key", "n"), ["key", "n"], "left_anti").select("_key"), "alone")
+
+    key = F.xxhash64(F.coalesce("text", F.lit("")))
+    on = (F.col("doc_id") == F.col("_doc")) & (key == F.col("_key"))
+    rows = carrying(docs, "doc_id", "text")
+    known = join_small(rows.where("doc_id is not null"), gone, on, "left_anti")
+    some = join_small(rows.where("doc_id is null"), alone, key == F.col("_key"), "left_semi")
+    if repeats.isEmpty():
+        kept = known
+    else:
+        kept = join_small(known, repeats, on, "left_anti")
+        some = some.union(join_small(known, repeats, on, "left_semi"))
+    # Equal rows combine before they are shuffled.
+    once = some.groupBy("doc_id", key.alias("_key")).agg(F.first(F.struct("text", "carried")).alias("row"))
+    kept = kept.union(once.select("doc_id", "row.text", "row.carried"))
+    return kept.select(*unpacked(docs.columns, "doc_id", "text"))
 
 
 ORACLE = r"""

@@ -319,7 +319,8 @@ def repeated_intervals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     hits = each.join(found, ["gram", "content"]).where(F.exists("earliest", lambda x: x < F.col("doc_id")))
     hits = hits.select("doc_id", "key", "start", F.explode(F.arrays_zip("at", "size", "earliest")).alias("r")).where("r.earliest < doc_id")
     cut = F.struct((F.col("start") + F.col("r.at")).alias("first"), (F.col("start") + F.col("r.at") + F.col("r.size") + window - 1).alias("end"))
-    return staged(hits.groupBy("doc_id", "key").agg(F.collect_list(cut).alias("cuts")), "cuts")
+    # A set, since rows that repeat a doc_id and text bring the same ranges each.
+    return staged(hits.groupBy("doc_id", "key").agg(F.collect_set(cut).alias("cuts")), "cuts")
 
 
 def _cut(keep_text: bool):

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -61,10 +63,21 @@ def test_similar_documents_on_odd_rows(documents):
     rows = [(None, text), (None, text), (5, text), (3, text), (3, "x y z x y q r"), (3, text)]
     got = sorted((str(r.doc_id), r.component_id) for r in jaccard.similar_documents(documents(rows)).collect())
     assert got == [("3", 3)] * 3 + [("5", 3)] + [("None", None)] * 2
-    assert sorted(str(r.doc_id) for r in jaccard.one_of_each(documents(rows)).collect()) == ["3"] * 3 + ["None"] * 2
+    assert sorted((r.doc_id, r.text) for r in jaccard.one_of_each(documents(rows)).collect()) == [(3, text), (3, "x y z x y q r")]
     assert jaccard.similar_documents(documents(rows).where("false")).count() == 0
 
 
+def test_one_of_equal_rows_stays(documents):
+    text = "a b c d e f g"
+    assert jaccard.one_of_each(documents([(4, text)] * 4 + [(None, text)] * 3)).count() == 1
+    assert [r.doc_id for r in jaccard.one_of_each(documents([(None, text)] * 5 + [(None, text.upper())])).collect()] == [None]
+    rows = [(1, ""), (1, ""), (2, ""), (2, None), (None, ""), (None, None), (7, text), (7, text + " h"), (8, text), (None, "p q r s t u")]
+    got = Counter((r.doc_id, r.text or "") for r in jaccard.one_of_each(documents(rows)).collect())
+    assert got == {(1, ""): 1, (2, ""): 1, (None, ""): 1, (7, text): 1, (7, text + " h"): 1, (None, "p q r s t u"): 1}
+    out = jaccard.one_of_each(documents(rows))
+    assert out.columns == documents(rows).columns
+
+
 def test_trees_find_links_of_large_cells():
     rng = np.random.default_rng(3)
     base = np.unique(rng.integers(0, 2**63, 300).astype(np.uint64))
@@ -122,6 +135,25 @@ def test_common_passages_are_one_segment(documents):
     assert got == plain_repeats(rows, 50)
 
 
+def test_repeated_rows_take_linear_time(documents):
+    text = " ".join([" ".join(f"p{k}w{j}" for j in range(60)) for k in range(20)])
+    took = []
+    for n in (1_000, 10_000):
+        rows = [(1, text.replace("w5 ", "v5 ") + " " + text)] + [(2, text)] * n + [(3, text + " tail")]
+        start = time.monotonic()
+        got = Counter((r.doc_id, r.n_removed) for r in passages.remove_repeats(documents(rows), keep_text=False).collect())
+        took.append(time.monotonic() - start)
+        assert got == {(1, 0): 1, (2, 1200): n, (3, 1200): 1}
+    assert took[1] < 12 * took[0] + 5
+
+
+def test_a_very_long_text(documents):
+    words = [f"v{k * 7919 % 90001}" for k in range(150_000)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[50_000:100_000]) + " and an end of its own"), (3, " ".join(words[:49]))]
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in passages.remove_repeats(documents(rows)).collect()}
+    assert got[1][:2] == (150_000, 0) and got[2] == (50_006, 50_000, "and an end of its own") and got[3][1] == 0
+
+
 def test_repeats_on_odd_rows(documents):
     text = " ".join(f"t{k}" for k in range(60))
     rows = [(None, text), (4, text), (4, text), (4, text + " more"), (9, text), (None, text)]

@@ -77,6 +77,67 @@ def test_many_documents_make_boilerplate_on_a_large_host(documents):
     assert clean == {i: " ".join(f"d{i}w{k}" for k in range(52)) for i in range(3100)}
 
 
+def templates(n):
+    """Texts that share ten of eleven lines; the other one is their own."""
+    shared = [" ".join(f"t{j}w{k}" for k in range(12)) for j in range(10)]
+    return ["\n".join([*shared[: i % 11], " ".join(f"own{i}w{k}" for k in range(12)), *shared[i % 11 :]]) for i in range(n)]
+
+
+def plain_law(rows):
+    """doc_id -> words in lines that enough documents of the host have, near copies counted as one; by loops over all."""
+    lines = {}
+    for i, text, host in rows:
+        lines[host, text or ""] = [ws for x in (text or "").split("\n") if (ws := re.findall(r"[^\x20\x09-\x0D]+", x.lower()))]
+    out = {}
+    for host in {h for _, _, h in rows}:
+        texts = {t: ls for (h, t), ls in lines.items() if h == host}
+        users = {}
+        for t, ls in texts.items():
+            for ws in ls:
+                users.setdefault(tuple(ws), set()).add(t)
+        enough = lambda n, all=len(texts): n >= 5 and (100 * n >= 2 * all or n >= 50)
+        users = {w: ts for w, ts in users.items() if enough(len(ts))}
+        held = set().union(*users.values()) if users else set()
+        anchors = lambda ws: {tuple(ws[k : k + 3]) for k in (0, 3, len(ws) - 6, len(ws) - 3)}
+        count = Counter(a for t in held for a in {a for ws in texts[t] if len(ws) >= 6 for a in anchors(ws)})
+        least = {t: min((max(count[a] for a in anchors(ws)) for ws in texts[t] if len(ws) >= 6), default=10**9) for t in held}
+        often = set()
+        for w, ts in users.items():
+            alone = sum(2 * least[t] < len(ts) for t in ts)
+            if enough(alone + (alone < len(ts))):
+                often.add(w)
+        for i, t, h in rows:
+            if h == host:
+                out.setdefault(i, []).append(sum(len(ws) for ws in texts[t or ""] if tuple(ws) in often))
+    return {i: sorted(n) for i, n in out.items()}
+
+
+def test_near_copies_stay_and_templates_go(documents):
+    rows = [(i, t, "copies") for i, t in enumerate(near_copies_of_lines(10))]
+    rows += [(100 + i, t, "templates") for i, t in enumerate(templates(60))]
+    rows += [(200 + i, t, "both") for i, t in enumerate(near_copies_of_lines(30) + templates(60))]
+    rows += [(400 + i, "Terms of use apply to all pages\n" + PROSE + f" and {i}", None) for i in range(7)] + [(500, None, "copies"), (501, "one", None)]
+    got = {}
+    for r in quality_rules.apply_rules(documents(rows)).collect():
+        got.setdefault(r.doc_id, []).append(r)
+    assert {i: [r.n_boilerplate_words for r in rs] for i, rs in got.items()} == plain_law(rows)
+    kept = {i for i, rs in got.items() if rs[0].kept}
+    assert kept == {*range(10), *range(200, 230), *range(400, 407)}
+    assert {r.doc_id for r in quality_rules.clean_documents(documents(rows)).collect()} == kept
+
+
+def test_very_long_texts(documents):
+    text = "\n".join(" ".join(f"l{i}w{k * k % 977}" for k in range(40)) for i in range(4_000))
+    rows = [(1, text), (2, None), (3, "short"), (4, text + "\nand one more line of six words")]
+    got = {r.doc_id: r for r in quality_rules.apply_rules(documents(rows)).collect()}
+    assert got[1].n_words == 160_000 and got[1].kept and got[4].kept and not got[2].kept
+    assert {r.doc_id for r in quality_rules.clean_documents(documents(rows)).collect()} == {1, 4}
+    shards = {r.doc_id: r for r in sharding.assign_shards(documents(rows), 4).collect()}
+    assert shards[1].size == len(text) + 1 and shards[2].size == 1
+    mixed = mixing.mix_sources(documents(rows)).where("doc_id = 1").collect()
+    assert all(r.text == text for r in mixed)
+
+
 def test_empty_tables(documents):
     empty = documents([(1, "x")]).where("false")
     assert quality_rules.apply_rules(empty).count() == 0
@@ -123,6 +184,26 @@ def test_mixing_reaches_the_weights(documents):
     assert key(mixed) == key(again)
 
 
+def test_sources_without_a_weight_keep_their_name(documents):
+    docs = documents([(1, "aa", "a"), (2, "bb", "b"), (3, "cc", None)])
+    rates = {r.source: r for r in mixing.repetition_rates(docs, weights={"a": 1.0}).collect()}
+    assert set(rates) == {"a", "b", None} and rates["b"].rate == 0 and rates["b"].cdf is None and rates["a"].rate == 3
+
+
+def test_large_rates_draw_from_the_middle_of_the_distribution(documents):
+    docs = documents([(i, "x", "tiny") for i in range(40)] + [(1000 + i, "y" * 4000, "big") for i in range(100)])
+    row = mixing.repetition_rates(docs, weights={"tiny": 1.0, "big": 1.0}).where("source = 'tiny'").first()
+    assert 2000 < row.rate and len(row.cdf) < 30 * row.rate**0.5 and row.first > 1
+    exact, log_p = 0.0, -row.rate
+    for k in range(1, row.first + len(row.cdf)):
+        exact += math.exp(log_p)
+        log_p += math.log(row.rate / k)
+        if k >= row.first:
+            assert abs(row.cdf[k - row.first] - exact) < 1e-9
+    n = Counter(r.doc_id for r in mixing.mix_sources(docs, weights={"tiny": 1.0, "big": 1.0}).where("source = 'tiny'").select("doc_id").collect())
+    assert len(n) == 40 and abs(sum(n.values()) / 40 - row.rate) < 4 * (row.rate / 40) ** 0.5
+
+
 def test_counts_are_poisson(documents):
     docs = documents([(i, f"t{i:06d}", "a") for i in range(6000)] + [(10**6 + i, "x" * 6 + f"{i}", "b") for i in range(2000)])
     counts = Counter(r.doc_id for r in mixing.mix_sources(docs).where("source = 'a'").select("doc_id").collect())
