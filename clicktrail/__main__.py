@@ -13,7 +13,7 @@ from clicktrail.functions.paths import phase_label
 from clicktrail.plans.batch import Run, run_batch, run_sem
 from clicktrail.rules import Rules
 from clicktrail.session import build_session
-from clicktrail.sinks import outputs
+from clicktrail.sinks import archive, outputs
 from clicktrail.sources.hits import read_hits
 from clicktrail.streaming.intake import Intake
 
@@ -56,6 +56,8 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     run = Run(args.input)
     try:
+        if args.job == "report" and args.archive_input:
+            archive.resume(spark, args.archive_input)  # what an earlier run has reported must not be read again
         hits = read_hits(spark, args.input, rules, args.delimiter)
         if args.job == "report":
             phase = args.phase or spark.range(1).select(phase_label(F.lit(args.input))).first()[0]

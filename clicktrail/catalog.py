@@ -25,6 +25,7 @@ from clicktrail.sources import manifest
 from clicktrail.sources.event_hits import hits_from_events, with_dirt
 from clicktrail.sources.hits import read_hits
 from clicktrail.streaming.intake import Intake
+from clicktrail.streaming.registry import Registry
 
 RULES = Rules()
 LENIENT = Rules(fail_on_null_critical=False)
@@ -296,21 +297,75 @@ def intake_quality_reports(spark, sf_dir):
 
 @query
 def two_runs_one_day(spark, sf_dir):
-    """Reports of two inputs of one day, each with half of the visitors, side by side."""
+    """Reports of two inputs of one day and one name, each with half of the visitors, side by side."""
     out = new_path(spark, "runs")
     keyword = RULES.output_columns[1]
     schema = StructType([StructField(c, StringType()) for c in RULES.output_columns])
     half = F.substring_index(F.trim("ip"), ".", -1).try_cast("int") % 2
     found = []
     for i in (0, 1):
-        run_batch(spark, _hits(spark, sf_dir).where(half == i), out, RULES, Run(f"half{i}.tab", "phase2", f"run-{i}", WHEN))
-    for i in (0, 1):
-        path = f"{out}/processed/phase2/year=2024/month=02/day=01/source=half{i}/2024-02-01_SearchKeywordPerformance.tab"
+        run = Run(f"raw/half{i}/hits.tab", "phase2", f"run-{i}", WHEN)
+        run_batch(spark, _hits(spark, sf_dir).where(half == i), out, RULES, run)
+        path = f"{out}/processed/phase2/year=2024/month=02/day=01/source={run.source}/2024-02-01_SearchKeywordPerformance.tab"
         text = spark.read.options(sep="\t", header=True).schema(schema).csv(path)
         found.append(text.withColumns({keyword: F.coalesce(F.col(f"`{keyword}`"), F.lit("")), "half": F.lit(i).cast("bigint")}))
     return found[0].unionByName(found[1])
 
 
+@query
+def archived_inputs(spark, sf_dir):
+    """What a run leaves in its archive of two files of one name, read back: nothing replaced, nothing lost."""
+    folder = new_path(spark, "landing")
+    half = F.substring_index(F.trim("ip"), ".", -1).try_cast("int") % 2
+    for i in (0, 1):
+        part = _hit_files(spark, _hits(spark, sf_dir).where(half == i).coalesce(1))
+        (path,) = files.part_files(spark, f"{part}/phase2", prefix="hits_")
+        files.move(spark, path, f"{folder}/half{i}/hits.tab")
+    rules = RULES.but(fail_on_null_critical=False)
+    run_batch(spark, read_hits(spark, f"{folder}/*/hits.tab", rules), f"{folder}/out", rules, Run("*/hits.tab", when=WHEN), archive=f"{folder}/kept")
+    kept = read_hits(spark, [f"{folder}/kept/half{i}/hits.tab" for i in (0, 1)], rules)
+    name = F.regexp_extract("source_file", r"(half\d/hits\.tab)$", 1)
+    return kept.groupBy(name.alias("archived")).agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.sum(F.col("hit_time_gmt").try_cast("bigint")).alias("time_sum"),
+        F.sum(F.length("page_url")).alias("url_chars"),
+    )
+
+
+@query
+def intake_registry(spark, sf_dir):
+    """Names of user and day, recorded batch by batch, and which of those that arrive again are known."""
+    events = _table(spark, sf_dir, "events")
+    day = F.date_format("ts", "yyyyMMdd")
+    names = events.select(
+        F.concat(F.lit("phase"), F.col("user_id") % 3).alias("phase"),
+        F.concat(F.lit("hits_"), F.col("user_id") % 500, F.lit("_"), day, F.lit("_000000.tab")).alias("file_name"),
+        (F.col("user_id") % 10).cast("int").alias("batch"),
+    ).distinct()
+    out = new_path(spark, "registry")
+    known = Registry(spark, f"{out}/registry", f"{out}/index", fold_every=2, merge=2)
+    recorded = Staging(spark, "names")(names.withColumn("outcome", F.when(F.col("batch") == 3, "failed").otherwise("processed")))
+    for b in range(9):
+        recorded.where(F.col("batch") == b).select("phase", "file_name", "outcome").write.parquet(f"{out}/registry/batch_id={b}")
+        known.fold(b)
+    arriving = recorded.select("phase", "file_name").distinct()
+    return manifest.already_processed(arriving, known.processed(arriving, 9).select("phase", "file_name").distinct())
+
+
+@query
+def malformed_bytes(spark, sf_dir):
+    """Texts of one encoding read by their own and by another one: bytes that mean nothing there are replaced, the line stays whole."""
+    hits = _hits(spark, sf_dir)
+    marked = hits.withColumn("pagename", F.concat(F.lit("caf\u00e9 "), "pos.event_id", F.lit(" \u00fc")))
+    folder = new_path(spark, "latin")
+    marked.select(*HIT_COLUMNS).write.options(sep="\t", header=True, escape='"', emptyValue="", encoding="ISO-8859-1").csv(folder)
+    read = {}
+    for name, encoding in (("as_utf8", "UTF-8"), ("as_latin1", "ISO-8859-1")):
+        rows = read_hits(spark, folder, RULES.but(file_encoding=encoding))
+        read[name] = rows.select(F.regexp_extract("pagename", r"(\d+)", 1).cast("bigint").alias("event_id"), F.col("pagename").alias(name))
+    return read["as_utf8"].join(read["as_latin1"], "event_id")
+
+
 # -- quality -----------------------------------------------------------------
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clicktrail.operators.activity import is_counted, is_touch, keyed, purchases, touch_order
-from clicktrail.operators.spread import SALT, SALT_SET, SALTS, hot_keys, join_spread, salt_of, salted_if_hot
+from clicktrail.operators.spread import hot_keys, join_spread, salted, with_salts
 from clicktrail.rules import Rules
 from clicktrail.session import Staging
 
@@ -51,23 +51,17 @@ def first_touch(act: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
 
 def _purchases_with_sessions(act: DataFrame, scope: Sequence[str], how: str) -> DataFrame:
     keys = keyed(scope)
-    salt = salt_of(F.col("pos"))
     sessions = Staging(act.sparkSession, "sessions")(
-        act.groupBy(*keys)
-        .agg(
+        act.groupBy(*keys).agg(
             first_by_time().alias("_first"),
             F.min(F.when(is_touch(), F.col("ts"))).alias("first_ts"),
             F.count_if(is_counted()).alias("_bought"),
         )
-        .where(F.col("_first").isNotNull())
     )
+    # Also sessions without a touch can be hot, where rows without a partner are looked for.
     hot = hot_keys(sessions, keys, "_bought")
-    # A hot session is repeated for every salt there is, an ordinary one stays one row.
-    marked = salted_if_hot(sessions, keys, hot, F.lit(SALTS)).withColumn(
-        SALT_SET, F.when(F.col(SALT) == 0, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    )
-    one = marked.select(*keys, "_first.domain", "_first.keyword", "first_ts", SALT_SET)
-    return join_spread(salted_if_hot(purchases(act), keys, hot, salt), one, keys, how)
+    one = sessions.where(F.col("_first").isNotNull()).select(*keys, "_first.domain", "_first.keyword", "first_ts")
+    return join_spread(salted(purchases(act), keys, hot, F.col("pos")), with_salts(one, keys, hot), keys, how)
 
 
 def attribute_purchases(act: DataFrame, rules: Rules, scope: Sequence[str] = ()) -> DataFrame:

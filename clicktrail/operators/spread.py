@@ -6,9 +6,9 @@ that built it), so it is repeated only as often as needed.  The join then runs
 on (key, salt) and no task receives more than about 1/SALTS of a hot key.
 Nothing is sampled or dropped, and it does not depend on adaptive execution.
 
-Where a key's rows could have as many salts as rows, only keys that hold more
-than 1/``HOT_KEYS`` of all rows are salted (:func:`hot_keys`): fewer than
-``HOT_KEYS`` keys, broadcast as hashes.  All others stay one row.
+Where a key's rows could have as many salts as rows, the salts of a key are in proportion to the rows it
+holds (:func:`hot_keys`): the "one" side grows by less than ``HOT_KEYS`` rows in all, however the rows are spread
+over keys.  Keys with a single salt are not even marked; the others are fewer than ``HOT_KEYS`` and broadcast as hashes.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ SALTS = 1 << 14
 HOT_KEYS = 10_000
 SALT = "_salt"
 HOT = "_hot"
+WIDTH = "_width"
 SALT_SET = "_salts"
 
 
@@ -35,18 +36,28 @@ def salt_set(salt: Column, where: Column | None = None) -> Column:
 
 
 def hot_keys(one: DataFrame, on: Sequence[str], rows: str) -> DataFrame:
-    """Hashes of the keys that hold more than 1/``HOT_KEYS`` of the rows counted in column ``rows``.
+    """Hash and number of salts of the keys that hold more than 1/``HOT_KEYS`` of the rows counted in column ``rows``.
 
     ``one`` is read twice, so it should be staged.
     """
-    total = one.agg(F.sum(rows)).scalar()
-    return one.where(F.col(rows) * HOT_KEYS > total).select(F.xxhash64(*on).alias(HOT))
+    share = F.col(rows) * HOT_KEYS / one.agg(F.sum(rows)).scalar()
+    hot = one.where(share > 1).groupBy(F.xxhash64(*on).alias(HOT))  # keys of equal hashes share their salts
+    return hot.agg(F.max(F.ceil(share)).cast("int").alias(WIDTH))
 
 
-def salted_if_hot(df: DataFrame, on: Sequence[str], hot: DataFrame, salt: Column) -> DataFrame:
-    """Add the salt ``salt`` to rows of hot keys, and a fixed one to all others."""
+def _widths(df: DataFrame, on: Sequence[str], hot: DataFrame) -> DataFrame:
     marked = df.withColumn("_hash", F.xxhash64(*on)).join(F.broadcast(hot), F.col("_hash") == F.col(HOT), "left")
-    return marked.withColumn(SALT, F.when(F.col(HOT).isNotNull(), salt).otherwise(F.lit(0))).drop("_hash", HOT)
+    return marked.withColumn(WIDTH, F.coalesce(F.col(WIDTH), F.lit(1))).drop("_hash", HOT)
+
+
+def salted(many: DataFrame, on: Sequence[str], hot: DataFrame, place: Column) -> DataFrame:
+    """One of its key's salts for every row, by a hash of ``place``."""
+    return _widths(many, on, hot).withColumn(SALT, F.pmod(F.xxhash64(place), F.col(WIDTH)).cast("int")).drop(WIDTH)
+
+
+def with_salts(one: DataFrame, on: Sequence[str], hot: DataFrame) -> DataFrame:
+    """All salts of the key of every row."""
+    return _widths(one, on, hot).withColumn(SALT_SET, F.sequence(F.lit(0), F.col(WIDTH) - 1)).drop(WIDTH)
 
 
 def join_spread(many: DataFrame, one: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:

@@ -294,6 +294,16 @@ def oracle_sql() -> dict[str, str]:
           FROM (SELECT f.domain, f.keyword, a.revenue, CAST(string_split(session, '.')[-1] AS BIGINT) % 2 AS half
             FROM act a JOIN firsts f USING (session) WHERE a.revenue IS NOT NULL)
           GROUP BY domain, keyword, half HAVING round(sum(revenue), 2) > 0""",
+        "archived_inputs": BASE
+        + """ SELECT 'half' || (CAST(string_split(trim(ip), '.')[-1] AS BIGINT) % 2) || '/hits.tab' AS archived, count(*) AS row_count,
+            CAST(sum(TRY_CAST(hit_time_gmt AS BIGINT)) AS BIGINT) AS time_sum, CAST(sum(length(nullif(page_url, ''))) AS BIGINT) AS url_chars
+          FROM hits WHERE TRY_CAST(string_split(trim(ip), '.')[-1] AS BIGINT) IS NOT NULL GROUP BY ALL""",
+        "intake_registry": """SELECT DISTINCT 'phase' || (user_id % 3) AS phase,
+            'hits_' || (user_id % 500) || '_' || strftime(ts, '%Y%m%d') || '_000000.tab' AS file_name
+          FROM events WHERE user_id % 10 NOT IN (3, 9)""",
+        "malformed_bytes": BASE
+        + """ SELECT event_id, 'caf' || chr(65533) || ' ' || event_id || ' ' || chr(65533) AS as_utf8,
+            'caf' || chr(233) || ' ' || event_id || ' ' || chr(252) AS as_latin1 FROM hits""",
         "dedup_hits_from_files": DIRT + _deduped("true") + " SELECT " + ", ".join(f"nullif({c}, '') AS {c}" for c in HIT_COLUMNS) + " FROM clean",
         "dq_dup_rejects_from_files": DIRT
         + " SELECT " + ", ".join(f"nullif({c}, '') AS {c}" for c in HIT_COLUMNS) + f", _error_reason FROM ({_dup_rejects()})",

@@ -11,8 +11,10 @@ on shuffle stages, so a lost executor cannot inflate them.
 
 from __future__ import annotations
 
+import hashlib
 import logging
 import os
+import posixpath
 import time
 import uuid
 from collections.abc import Iterator, Sequence
@@ -41,6 +43,7 @@ from clicktrail.operators.quality import (
 from clicktrail.plans.reports import report_of, sem_insights, shared_session_keys
 from clicktrail.rules import Rules
 from clicktrail.session import Staging
+from clicktrail.sinks import archive as archives
 from clicktrail.sinks import files, outputs
 from clicktrail.sources.hits import with_stored_positions
 
@@ -74,6 +77,14 @@ class Run:
     def stem(self) -> str:
         return self.input_name.rstrip("/").rsplit("/", 1)[-1].rsplit(".", 1)[0] or "hits"
 
+    @property
+    def source(self) -> str:
+        """The stem and a digest of the whole input name, so that equal names of two folders differ; the same for every run."""
+        name = self.input_name.removeprefix("file://").removeprefix("file:")
+        scheme, sep, path = name.rpartition("://")
+        canonical = f"{scheme}{sep}{posixpath.normpath(path)}" if path else ""
+        return f"{self.stem}-{hashlib.sha256(canonical.encode()).hexdigest()[:8]}"
+
 
 def with_missing(hits: DataFrame, rules: Rules) -> DataFrame:
     """Absent required columns as all NULL, for rules that let such files pass the schema check."""
@@ -129,7 +140,8 @@ def run_batch(
 
     Returns the run summary.  A failed check raises after its evidence (rejects,
     quality report, lineage) is stored.  With ``archive``, exactly the files that
-    were read move there once the report is out.
+    were read move there once the report is out, below their common folder and never over
+    another file.  Callers finish what an earlier run left (``sinks.archive.resume``) before they list the files.
     """
     run = run or Run()
     out = out.rstrip("/")
@@ -150,8 +162,8 @@ def run_batch(
     try:
         read = hits.inputFiles() if archive else []
         summary = _checked_run(spark, with_stored_positions(hits, stage), out, rules, run, stage, lineage, layout)
-        for path in read:
-            files.move(spark, plain := unquote(path), f"{archive.rstrip('/')}/{plain.rsplit('/', 1)[-1]}")
+        if archive:
+            archives.archive_files(spark, [unquote(path) for path in read], archive, run.run_id)
         lineage["status"] = "SUCCESS"
         return summary | {"duration_seconds": lineage.setdefault("duration_seconds", round(time.monotonic() - started, 2))}
     except Exception as exc:
@@ -259,7 +271,7 @@ def _checked_run(
         if shared:
             log.warning("%d session keys are used with several user agents", shared)
     # Runs of one day over different inputs keep their own reports.
-    target = f"{outputs.day_folder(f'{out}/processed', run.when, run.phase)}/source={run.stem}"
+    target = f"{outputs.day_folder(f'{out}/processed', run.when, run.phase)}/source={run.source}"
     output_file, output_rows = outputs.write_keyword_report(report_of(act, rules, stage=stage), target, run.when, rules, layout)
     store_quality()
     lineage |= {"output_file": output_file, "output_rows": output_rows}

@@ -32,6 +32,7 @@ from clicktrail.session import Staging
 from clicktrail.sinks import files, outputs
 from clicktrail.sources.hits import literal_path, positioned, reader, with_stored_positions
 from clicktrail.sources.manifest import delivery_facts, judged, relative_key
+from clicktrail.streaming.registry import Registry
 
 log = logging.getLogger(__name__)
 
@@ -66,6 +67,7 @@ class Intake:
         self.spark, self.rules, self.delimiter = spark, rules, delimiter
         self.landing, self.out = landing.rstrip("/"), out.rstrip("/")
         self.move_files, self.max_files = move_files, max_files
+        self.known = Registry(spark, f"{self.out}/registry", f"{self.out}/registry_index")
 
     def start(self, checkpoint: str, **trigger) -> StreamingQuery:
         """Start the stream; by default it takes in what is there and stops."""
@@ -119,20 +121,21 @@ class Intake:
         rows = [tuple(e[c] for c in ENTRY_COLUMNS) for e in entries]
         table = self.spark.createDataFrame(rows, ENTRY_SCHEMA).coalesce(1)
         table.write.mode("overwrite").parquet(f"{self.out}/registry/batch_id={batch_id}")
+        with not_fatal("index of the registry"):
+            self.known.fold(batch_id)
 
     # -- which files to take ---------------------------------------------------
 
     def _judge(self, arrived: DataFrame, batch_id: int) -> list[dict]:
-        done = self.registry().where((F.col("outcome") == "processed") & (F.col("batch_id") < batch_id))
-        verdicts = judged(delivery_facts(arrived, self.landing), done, self.rules)
+        deliveries = delivery_facts(arrived, self.landing)
+        verdicts = judged(deliveries, self.known.processed(deliveries, batch_id), self.rules)
         entries = [r.asDict() for r in verdicts.select("path", "key", "file_name", "phase", "delivered", "reason").collect()]
         for e in entries:  # <= max_files
             e["outcome"] = "rejected" if e["reason"] else "processed"
         return sorted(entries, key=lambda e: e["key"])
 
     def _header(self, path: str) -> tuple[str, ...]:
-        line = files.first_line(self.spark, path).rstrip("\r\n").removeprefix("\ufeff")
-        return tuple(name.strip('"') for name in line.split(self.delimiter))
+        return files.header_names(self.spark, path, self.delimiter, self.rules.file_encoding)
 
     def _unusable(self, header: tuple[str, ...]) -> str | None:
         """Why no table can be read under a header, whatever the rules allow."""
@@ -213,7 +216,7 @@ class Intake:
             if e["outcome"] != "processed":
                 continue
             seen = facts.get((e["phase"], e["file_name"]))
-            if seen is None and files.has_data(self.spark, e["path"]):
+            if seen is None and files.has_data(self.spark, e["path"], rules.file_encoding):
                 e |= {"outcome": "failed", "reason": "rows_not_found"}
             elif seen and seen["null_failed"] and rules.fail_on_null_critical:
                 e |= {"outcome": "failed", "reason": "null_critical_column"}

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from clicktrail.operators.activity import activity
 from clicktrail.operators.sessions import attribute_purchases, unattributed_purchases
-from clicktrail.operators.spread import SALT_SET, SALTS, join_spread, salt_of, salt_set
+from clicktrail.operators.spread import HOT_KEYS, SALT_SET, SALTS, hot_keys, join_spread, salt_of, salt_set, salted, with_salts
 from clicktrail.plans.models import credit, keyword_revenue
 from clicktrail.plans.reports import keyword_report, sem_insights
 from clicktrail.rules import Rules
@@ -85,3 +85,28 @@ def test_last_touch_reads_its_input_once(spark, no_help, tmp_path):
     act = activity(spark.read.parquet(str(tmp_path / "h")), RULES)
     plan = credit(act, RULES, model="last_touch")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1 and "ReusedExchange" in plan
+
+
+def one_and_hot(spark, counts):
+    one = spark.createDataFrame([(f"s{i}", n) for i, n in enumerate(counts)], "session string, bought long")
+    return one, hot_keys(one, ["session"], "bought")
+
+
+@pytest.mark.parametrize("counts", [[7] * 1500, [1] * 40_000, [1_000_000] + [1] * 3000, [5_000, 3_000, 2_000] * 50, [3]])
+def test_salts_are_in_proportion(spark, counts):
+    one, hot = one_and_hot(spark, counts)
+    salts = with_salts(one, ["session"], hot).select("bought", F.size(SALT_SET).alias("n")).collect()
+    assert sum(r["n"] for r in salts) <= len(counts) + HOT_KEYS
+    assert all(r["bought"] / r["n"] <= max(1, sum(counts) / HOT_KEYS) for r in salts)
+
+
+def test_salted_joins_lose_and_repeat_nothing(spark, no_help):
+    counts = [400, 1, 60, 3, 1, 900]
+    one, hot = one_and_hot(spark, counts)
+    many = one.withColumn("k", F.explode(F.expr("sequence(1L, bought)"))).select("session", "k")
+    kept = one.where("session != 's2'")
+    joined = join_spread(salted(many, ["session"], hot, F.col("k")), with_salts(kept, ["session"], hot), ["session"])
+    assert {r["session"]: r["count"] for r in joined.groupBy("session").count().collect()} == {f"s{i}": n for i, n in enumerate(counts) if i != 2}
+    rest = join_spread(salted(many, ["session"], hot, F.col("k")), with_salts(kept, ["session"], hot), ["session"], "left_anti")
+    assert rest.count() == 60
+    assert max(spread_of(joined)) < 900

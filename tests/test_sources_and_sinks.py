@@ -1,6 +1,7 @@
 import csv
 import json
 import os
+import threading
 from datetime import datetime, timezone
 
 import pytest
@@ -97,7 +98,7 @@ def test_batch_run(spark, tmp_path):
     path = put(tmp_path / "raw" / "hits.tab", tab_text(anchor_hits()))
     out, before = str(tmp_path / "out"), staged_tables(spark)
     summary = run_batch(spark, read_hits(spark, path), out, RULES, Run(path, "phase1", "run-12345678", WHEN))
-    target = f"{out}/processed/phase1/year=2026/month=02/day=25/source=hits/{REPORT}"
+    target = f"{out}/processed/phase1/year=2026/month=02/day=25/source={Run(path).source}/{REPORT}"
     assert {k: summary[k] for k in ("status", "input_rows", "clean_rows", "output_rows", "dq_passed", "output_file")} == {
         "status": "SUCCESS",
         "input_rows": 12,
@@ -173,8 +174,9 @@ def test_reports_can_be_sorted_parts(spark, tmp_path):
         target, count = outputs.write_keyword_report(report, str(tmp_path), WHEN, RULES, layout="parts")
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    parts = sorted(n for n in os.listdir(target) if n.startswith("part-"))
-    got = [l.split("\t")[1] for n in parts for l in lines(f"{target}/{n}")[1:] if l]
+    version = files.current(spark, target)
+    parts = sorted(n for n in os.listdir(version) if n.startswith("part-"))
+    got = [l.split("\t")[1] for n in parts for l in lines(f"{version}/{n}")[1:] if l]
     assert count == 40 and len(parts) > 1 and got == [f"k{i:02d}" for i in reversed(range(40))]
 
 
@@ -207,7 +209,75 @@ def test_runs_of_one_day_keep_their_reports(spark, tmp_path):
         rows = frame(spark, [search(1, "v", "x"), sale(2, "v", price)])
         run_batch(spark, rows, str(tmp_path), RULES, Run(f"{name}.tab", "phase1", f"run-{name}", WHEN))
     day = tmp_path / "processed" / "phase1" / "year=2026" / "month=02" / "day=25"
-    assert [lines(day / f"source={n}" / REPORT)[1] for n in "ab"] == ["google.com\tx\t5.00", "google.com\tx\t7.00"]
+    assert [lines(day / f"source={Run(f'{n}.tab').source}" / REPORT)[1] for n in "ab"] == ["google.com\tx\t5.00", "google.com\tx\t7.00"]
+
+
+def test_equal_names_of_two_folders_keep_their_reports(spark, tmp_path):
+    for name, price in (("a", 5), ("b", 7)):
+        rows = frame(spark, [search(1, "v", "x"), sale(2, "v", price)])
+        run_batch(spark, rows, str(tmp_path), RULES, Run(f"/in/{name}/hits.tab", "phase1", f"run-{name}", WHEN))
+    day = tmp_path / "processed" / "phase1" / "year=2026" / "month=02" / "day=25"
+    assert len([n for n in os.listdir(day) if n.startswith("source=hits-")]) == 2
+    same = {Run(n).source for n in ("/in/a/hits.tab", "file:/in/a/hits.tab", "file:///in//a/./hits.tab")}
+    assert len(same) == 1 and Run("/in/b/hits.tab").source not in same
+
+
+def test_readers_always_see_one_whole_version(spark, tmp_path):
+    target = str(tmp_path / "report")
+    seen, lost, stop = [], [], threading.Event()
+
+    def read():
+        while not stop.is_set():
+            try:
+                folder = files.current(spark, target)
+            except Exception as exc:  # noqa: BLE001
+                lost.append(exc)
+                return
+            if folder:
+                texts = [open(f"{folder}/{n}").read() for n in sorted(os.listdir(folder)) if n.startswith("part-")]
+                seen.append({line for t in texts for line in t.split("\n")[1:] if line})
+
+    put(tmp_path / "report", "a file of the other layout")
+    files.publish_parts(spark.range(100).selectExpr("'v0' AS version", "id"), target, [F.col("id")])
+    reader = threading.Thread(target=read)
+    reader.start()
+    for i in range(1, 6):
+        files.publish_parts(spark.range(100).selectExpr(f"'v{i}' AS version", "id"), target, [F.col("id")])
+    stop.set()
+    reader.join()
+    assert seen and not lost and all(len(rows) == 100 and len({r.split(",")[0] for r in rows}) == 1 for rows in seen)
+    assert len([n for n in os.listdir(target) if n.startswith("version=")]) == 2  # the one before stays for its readers
+
+
+@pytest.mark.parametrize("encoding", ["ISO-8859-1", "UTF-8", "UTF-16LE", "UTF-16BE"])
+def test_headers_are_read_as_their_rows_are(spark, tmp_path, encoding):
+    names = ["plain", "b\u00fcro", 'with\ttab and "quotes"', "la\u010d" if encoding != "ISO-8859-1" else "lac"]
+    quoted = "\t".join('"' + n.replace('"', '""') + '"' if "\t" in n else n for n in names)
+    path = tmp_path / "h.tab"
+    path.write_bytes(f"{quoted}\r\n1\t2\t3\t4\r\n".encode(encoding))
+    assert files.header_names(spark, str(path), "\t", encoding) == tuple(names)
+
+
+def test_malformed_and_endless_headers(spark, tmp_path, monkeypatch):
+    path = tmp_path / "h.tab"
+    path.write_bytes(b"\xef\xbb\xbfcaf\xe9 au\tx\n" + b"1\t2\n" * 10)
+    assert files.header_names(spark, str(path), "\t") == ("caf\ufffd au", "x")
+    path.write_bytes(b"")
+    assert files.header_names(spark, str(path), "\t") == ("",)
+    monkeypatch.setattr(files, "HEADER_BYTES", 1000)
+    path.write_bytes(b"x" * 5000)
+    with pytest.raises(ValueError, match="no line end"):
+        files.first_line(spark, str(path))
+
+
+def test_malformed_bytes_stay_in_their_line(spark, tmp_path):
+    lines_ = tab_text([hit(i, "v", page=f"p{i}X") for i in range(4)]).encode().split(b"\n")
+    bad = [b"\xff", b"\xe9", b"\xc3", b"\xf0\x9f"]
+    lines_ = [lines_[0], *(x.replace(b"X", b, 1) for x, b in zip(lines_[1:], bad)), b""]
+    path = tmp_path / "bad.tab"
+    path.write_bytes(b"\n".join(lines_))
+    got = read_hits(spark, str(path)).orderBy("hit_time_gmt").select("page_url").collect()
+    assert len(got) == 4 and all("\ufffd" in r["page_url"] for r in got)
 
 
 def test_output_delimiter_and_encoding_are_rules(spark, tmp_path):

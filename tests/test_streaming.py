@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 
 from clicktrail.rules import HIT_COLUMNS, Rules
 from clicktrail.sinks import outputs
+from clicktrail.sinks import files
+from clicktrail.streaming import registry
 from clicktrail.streaming.intake import Intake
+from clicktrail.streaming.registry import Registry
 from tests.fixtures import anchor_hits, hit, sale, search, tab_text
 from tests.test_sources_and_sinks import put
 
@@ -196,3 +199,57 @@ def test_rules_reach_the_stream(spark, tmp_path):
     place.run()
     assert place.report() == {("google.com", "two", 5.0)}
     assert os.path.exists(f"{place.out}/archive/phase2/walk.tab")
+
+
+def reads_of(registry, monkeypatch):
+    """How many folders a lookup asks for."""
+    asked, real = [], files.exists
+    monkeypatch.setattr(files, "exists", lambda spark, path: asked.append(path) or real(spark, path))
+    return asked
+
+
+def test_registry_knows_all_batches_and_reads_few_folders(spark, tmp_path, monkeypatch):
+    known = Registry(spark, str(tmp_path / "r"), str(tmp_path / "i"), fold_every=2, merge=3)
+    schema = "phase string, file_name string, outcome string"
+    asked, costs = reads_of(known, monkeypatch), []
+    for b in range(24):
+        rows = [("phase1", f"h{b}_2026{b // 28 + 1:02d}{b % 28 + 1:02d}_000000.tab", "processed"), ("phase1", f"bad{b}.tab", "failed"), ("phase2", f"plain{b}.tab", "processed")]
+        del asked[:]
+        new = spark.createDataFrame(rows, schema)
+        before = known.processed(new, b).collect()
+        costs.append(len(asked))
+        assert not {(r["phase"], r["file_name"]) for r in before} & {r[:2] for r in rows}
+        new.coalesce(1).write.parquet(str(tmp_path / "r" / f"batch_id={b}"))
+        known.fold(b)
+        known.fold(b)
+    everything = spark.createDataFrame([(f"h{b}_2026{b // 28 + 1:02d}{b % 28 + 1:02d}_000000.tab",) for b in range(24)] + [(f"plain{b}.tab",) for b in range(24)], "file_name string")
+    got = known.processed(everything, 24).collect()
+    assert len(got) == 48 and {r["batch_id"] for r in got} == set(range(24)) and not any("bad" in r["file_name"] for r in got)
+    assert {r["batch_id"] for r in known.processed(everything, 7).collect()} == set(range(7))
+    assert max(costs[12:]) <= max(costs[:12]) + 8
+    assert len([n for n in os.listdir(tmp_path / "i") if n.startswith("run=")]) <= 4
+
+
+def test_a_fold_that_dies_is_repeated(spark, tmp_path, monkeypatch):
+    known = Registry(spark, str(tmp_path / "r"), str(tmp_path / "i"), fold_every=2, merge=2)
+    for b in range(4):
+        spark.createDataFrame([("p", f"f{b}.tab", "processed")], "phase string, file_name string, outcome string").write.parquet(str(tmp_path / "r" / f"batch_id={b}"))
+        with monkeypatch.context() as m:
+            m.setattr(files, "replace_text", lambda *_: 1 / 0)
+            if b % 2:
+                with pytest.raises(ZeroDivisionError):
+                    known.fold(b)
+        known.fold(b)
+    names = spark.createDataFrame([(f"f{b}.tab",) for b in range(4)], "file_name string")
+    assert sorted(r["file_name"] for r in known.processed(names, 4).collect()) == [f"f{b}.tab" for b in range(4)]
+
+
+def test_names_of_old_batches_are_still_refused(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(registry, "FOLD_EVERY", 2)
+    place = Place(spark, tmp_path, max_files=1)
+    for i in range(5):
+        put(place.landing / "phase1" / f"f{i}_20260225_00000{i}.tab", tab_text([search(1, "v", f"k{i}"), sale(2, "v", 5)]))
+    place.run()
+    put(place.landing / "phase1" / "again" / "f0_20260225_000000.tab", tab_text([search(1, "v", "k0"), sale(2, "v", 5)]))
+    place.run()
+    assert ("phase1/again/f0_20260225_000000.tab", "rejected", "duplicate") in place.outcomes() and len(place.outcomes()) == 6
