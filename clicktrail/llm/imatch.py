@@ -28,7 +28,7 @@ LEAST_DOCS = 2
 LEXICON_TERMS = 1 << 20
 SUBSETS = 32
 COUNTED_BYTES = 4 << 20  # of text in which terms are counted together
-BUCKET_BYTES = 24 << 20  # of text that is put in order by one task
+BUCKET_BYTES = 8 << 20  # of text that is put in order by one task
 MOST_BUCKETS = 20_000
 
 _SEEDS = mix(np.arange(1, SUBSETS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
