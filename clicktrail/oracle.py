@@ -22,24 +22,24 @@ hits AS (
     CASE WHEN event_type = 'purchase' AND k % 3 = 0 THEN '2, 1' WHEN event_type = 'purchase' THEN '1'
       WHEN event_type = 'view' THEN '2' WHEN event_type = 'signup' THEN '11'
       WHEN event_type = 'error' THEN '12' ELSE '' END AS event_list,
-    'Salem' AS geo_city, 'OR' AS geo_region, 'US' AS geo_country,
+    'Aarhus' AS geo_city, 'MJ' AS geo_region, 'DK' AS geo_country,
     event_type AS pagename,
     'http://shop.example/p/' || k AS page_url,
-    CASE WHEN event_type = 'purchase' THEN 'Electronics;Item ' || k || ';1;'
+    CASE WHEN event_type = 'purchase' THEN 'Outdoor;Model ' || k || ';1;'
         || CASE WHEN k % 10 = 9 THEN 'N/A' ELSE CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) END || ';'
-        || CASE WHEN k % 4 = 0 THEN ',Accessories;Cable;1;;' ELSE '' END
-        || CASE WHEN k % 6 = 0 THEN ',Accessories;Case;2; 15.25 ;event1;evar1' ELSE '' END
-      WHEN event_type = 'view' THEN 'Electronics;Item ' || k || ';1;;' ELSE '' END AS product_list,
+        || CASE WHEN k % 4 = 0 THEN ',Repair;Patch;1;;' ELSE '' END
+        || CASE WHEN k % 6 = 0 THEN ',Repair;Rope;2; 18.75 ;event1;evar1' ELSE '' END
+      WHEN event_type = 'view' THEN 'Outdoor;Model ' || k || ';1;;' ELSE '' END AS product_list,
     CASE WHEN event_type = 'click' AND k < 16 THEN
-      CASE WHEN k = 15 THEN 'http://www.msn.com/results?q=%20&p=Lens'
-        WHEN k % 8 = 0 THEN 'http://www.google.com/search?hl=en&q=Item+' || k || '&aq=f'
-        WHEN k % 8 = 1 THEN 'http://WWW.BING.COM/search?q=Zune%20' || k || '&form=QBLH'
-        WHEN k % 8 = 2 THEN 'http://search.yahoo.com/search?p=cd+player&toggle=1'
-        WHEN k % 8 = 3 THEN 'http://search.aol.com/aol/search?query=usb%20hub'
+      CASE WHEN k = 15 THEN 'http://www.msn.com/results?q=%20&p=Compass'
+        WHEN k % 8 = 0 THEN 'http://www.google.com/search?lang=da&q=Oak+Desk+' || k || '&start=0'
+        WHEN k % 8 = 1 THEN 'http://WWW.BING.COM/search?q=Tent%20' || k || '&count=20'
+        WHEN k % 8 = 2 THEN 'http://search.yahoo.com/search?p=rain+jacket&page=2'
+        WHEN k % 8 = 3 THEN 'http://search.aol.com/aol/search?query=wool%20scarf'
         WHEN k % 8 = 4 THEN 'http://www.google.com/'
-        WHEN k % 8 = 5 THEN 'http://duckduckgo.com/?q=ipod'
-        WHEN k % 8 = 6 THEN 'http://www.google.co.uk/search?q=tv'
-        ELSE 'http://www.ask.com/web?q=&q=Camera' END
+        WHEN k % 8 = 5 THEN 'http://duckduckgo.com/?q=kayak'
+        WHEN k % 8 = 6 THEN 'http://www.google.co.uk/search?q=lamp'
+        ELSE 'http://www.ask.com/web?q=&q=Lantern' END
       ELSE 'http://shop.example/p/' || k END AS referrer,
     event_id, 0 AS copy
   FROM e)"""

@@ -15,16 +15,16 @@ SHOP = "http://shop.example/p/"
 
 def _search_url(k: int) -> str:
     if k == 15:
-        return "http://www.msn.com/results?q=%20&p=Lens"
+        return "http://www.msn.com/results?q=%20&p=Compass"
     return (
-        f"http://www.google.com/search?hl=en&q=Item+{k}&aq=f",
-        f"http://WWW.BING.COM/search?q=Zune%20{k}&form=QBLH",
-        "http://search.yahoo.com/search?p=cd+player&toggle=1",
-        "http://search.aol.com/aol/search?query=usb%20hub",
+        f"http://www.google.com/search?lang=da&q=Oak+Desk+{k}&start=0",
+        f"http://WWW.BING.COM/search?q=Tent%20{k}&count=20",
+        "http://search.yahoo.com/search?p=rain+jacket&page=2",
+        "http://search.aol.com/aol/search?query=wool%20scarf",
         "http://www.google.com/",
-        "http://duckduckgo.com/?q=ipod",
-        "http://www.google.co.uk/search?q=tv",
-        "http://www.ask.com/web?q=&q=Camera",
+        "http://duckduckgo.com/?q=kayak",
+        "http://www.google.co.uk/search?q=lamp",
+        "http://www.ask.com/web?q=&q=Lantern",
     )[k % 8]
 
 
@@ -39,15 +39,15 @@ def _referrer(k: Column) -> Column:
 def _product_list(k: Column) -> Column:
     price = F.col("value").cast("decimal(18,2)").cast("string")
     sold = F.concat(
-        F.lit("Electronics;Item "),
+        F.lit("Outdoor;Model "),
         k,
         F.lit(";1;"),
         F.when(k % 10 == 9, F.lit("N/A")).otherwise(price),
         F.lit(";"),
-        F.when(k % 4 == 0, F.lit(",Accessories;Cable;1;;")).otherwise(F.lit("")),
-        F.when(k % 6 == 0, F.lit(",Accessories;Case;2; 15.25 ;event1;evar1")).otherwise(F.lit("")),
+        F.when(k % 4 == 0, F.lit(",Repair;Patch;1;;")).otherwise(F.lit("")),
+        F.when(k % 6 == 0, F.lit(",Repair;Rope;2; 18.75 ;event1;evar1")).otherwise(F.lit("")),
     )
-    seen = F.concat(F.lit("Electronics;Item "), k, F.lit(";1;;"))
+    seen = F.concat(F.lit("Outdoor;Model "), k, F.lit(";1;;"))
     return (
         F.when(F.col("event_type") == "purchase", sold)
         .when(F.col("event_type") == "view", seen)
@@ -86,9 +86,9 @@ def hits_from_events(events: DataFrame) -> DataFrame:
         F.concat(F.lit("Mozilla/5.0 (agent "), k % 5, F.lit(")")).alias("user_agent"),
         F.concat(F.lit("10.0."), F.expr("user_id div 256"), F.lit("."), user % 256).alias("ip"),
         _event_list(k).alias("event_list"),
-        F.lit("Salem").alias("geo_city"),
-        F.lit("OR").alias("geo_region"),
-        F.lit("US").alias("geo_country"),
+        F.lit("Aarhus").alias("geo_city"),
+        F.lit("MJ").alias("geo_region"),
+        F.lit("DK").alias("geo_country"),
         F.col("event_type").alias("pagename"),
         F.concat(F.lit(SHOP), k).alias("page_url"),
         _product_list(k).alias("product_list"),
