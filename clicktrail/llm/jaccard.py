@@ -15,7 +15,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clicktrail.llm.components import components
@@ -308,10 +308,11 @@ def _classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, Data
     known = texts.where("doc_id is not null")
     single = join_small(known, staged(copies.distinct(), "copies"), (F.col("doc_id") == F.col("_doc")) & (F.col("text_key") == F.col("_key")), "left_anti")
     keys = single.select("doc_id", "text").mapInArrow(_segments(words, percent), "node long, segments array<long>")
-    keys = keys.select(F.explode("segments").alias("segment"), "node")
-    equal = Window.partitionBy("segment").orderBy("node")
-    first = F.first("node").over(equal.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    cells = components(keys.withColumn("first", first).where("first != node").select("first", "node").distinct(), "first", "node")
+    keys = staged(keys.select(F.explode("segments").alias("segment"), "node"), "segments")
+    # Least nodes combine before the shuffle; a segment of very many nodes is a skewed key of a join, which splits.
+    shared = keys.groupBy("segment").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first != last")
+    links = join_small(keys, staged(shared.select("segment", "first"), "shared"), "segment", "inner").where("first != node")
+    cells = components(links.select("first", "node").distinct(), "first", "node")
 
     for exact in (False, True):
         cells = staged(cells.select(F.col("node").alias("_node"), F.col("component").alias("cell")), "cells")

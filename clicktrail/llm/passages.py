@@ -10,6 +10,9 @@ smallest document that has the window.
 Grams of passages that very many documents share rank last, whichever their hash: a window that reaches
 beyond such a passage is then named by a rarer gram, and what remains of the passage is the same
 segment everywhere, which is counted before anything is shuffled.
+
+A gram with very many distinct segments would still be one large index.  Its segments are cut again where the
+second least gram of their windows changes, and go to an index of both grams: equal windows agree in both.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clicktrail.llm.store import BROADCAST_ROWS, join_small, staged
@@ -31,13 +34,14 @@ GRAM = 8
 COMMON = 200
 COUNTED_BYTES = 4 << 20  # of text in which grams are counted together
 INDEX_WORDS = 1 << 20  # of an index, unless one gram has more
+HOT_SEGMENTS = INDEX_WORDS // 64  # distinct segments of a gram that are dealt by a second gram as well
 
 _LAST = np.uint64(1 << 63)
 
 
-def gram_keys(words: Words, common: np.ndarray) -> np.ndarray:
-    """The rank of the gram at each word: by its hash, common ones after all others."""
-    keys = words.grams(GRAM) >> np.uint64(1)
+def ranked(grams: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """The ranks of grams: by their hashes, common ones after all others."""
+    keys = grams >> np.uint64(1)
     if len(common):
         at = np.minimum(np.searchsorted(common, keys), len(common) - 1)
         keys = np.where(common[at] == keys, keys | _LAST, keys)
@@ -49,7 +53,7 @@ def segments(words: Words, common: np.ndarray, window: int = WINDOW):
     n = len(words.hash)
     if n < window:
         return (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64))
-    keys = gram_keys(words, common)
+    keys = ranked(words.grams(GRAM), common)
     span = window - GRAM + 1
     best, size = np.arange(n), 1
     while size < span:  # the leftmost least gram of twice as many places, until the window is full
@@ -247,47 +251,83 @@ def _words_of_segments(common: np.ndarray, window: int):
             words = find_words(batch.column("text"))
             start, count, gram, content = segments(words, common, window)
             doc = np.searchsorted(words.first, start, side="right") - 1
-            ids, wanted = batch.column("doc_id").to_pylist(), [{(w["gram"], w["content"]) for w in x} for x in batch.column("wanted").to_pylist()]
+            ids, wanted = batch.column("doc_id").to_pylist(), [{(w["gram"], w["content"]): w["hot"] for w in x} for x in batch.column("wanted").to_pylist()]
             names = list(zip(gram.view(np.int64).tolist(), content.view(np.int64).tolist(), strict=True))
             pick = [k for k, name in enumerate(names) if name in wanted[doc[k]]]
             rows = [[names[k][0] for k in pick], [names[k][1] for k in pick], [ids[doc[k]] for k in pick]]
+            hot = pa.array([wanted[doc[k]][names[k]] for k in pick], pa.bool_())
             raw = [words.hash[start[k] : start[k] + count[k] + window - 1].tobytes() for k in pick]
             yield pa.RecordBatch.from_arrays(
-                [*(pa.array(x, pa.int64()) for x in rows), pa.array(raw, pa.binary())], names=["gram", "content", "owner", "words"]
+                [*(pa.array(x, pa.int64()) for x in rows), hot, pa.array(raw, pa.binary())], names=["gram", "content", "owner", "hot", "words"]
             )
 
     return texts
 
 
+def second_grams(hashes: np.ndarray, gram: int, common: np.ndarray, window: int) -> np.ndarray:
+    """For every window of a segment, its least gram but for the segment's own; the largest rank if it has no other."""
+    at = np.arange(len(hashes) - GRAM + 1)
+    keys = ranked(mix(polynomial(hashes, at, at + GRAM) + np.uint64(GRAM)), common)
+    keys = np.where(keys.view(np.int64) == gram, np.iinfo(np.uint64).max, keys)
+    return np.lib.stride_tricks.sliding_window_view(keys, window - GRAM + 1).min(axis=1)
+
+
+def _split_hot(common: np.ndarray, window: int):
+    """Segments of hot grams in pieces, by second gram; ``skip`` is a piece's first window in its segment."""
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, pieces = [], []
+            hot = batch.column("hot").to_pylist()
+            for k, raw in enumerate(batch.column("words").to_pylist()):
+                if not hot[k]:
+                    rows.append((k, 0, 0))
+                    pieces.append(raw)
+                    continue
+                words = np.frombuffer(raw, np.uint64)
+                second = second_grams(words, batch.column("gram")[k].as_py(), common, window).view(np.int64)
+                head = np.flatnonzero(np.concatenate(([True], second[1:] != second[:-1])))
+                for a, b in zip(head.tolist(), [*head[1:].tolist(), len(second)], strict=True):
+                    rows.append((k, int(second[a]), a))
+                    pieces.append(words[a : b + window - 1].tobytes())
+            at = pa.array([k for k, *_ in rows], pa.int64())
+            taken = [batch.column(c).take(at) for c in ("gram", "content", "owner")]
+            own = [pa.array([r[j] for r in rows], pa.int64()) for j in (1, 2)]
+            yield pa.RecordBatch.from_arrays([*taken, *own, pa.array(pieces, pa.binary())], names=["gram", "content", "owner", "second", "skip", "words"])
+
+    return split
+
+
 def _search_shard(window: int):
     out = pa.list_(pa.int64())
 
-    def answers(names: list[tuple[int, int]], owners: list[int], texts: list[np.ndarray]) -> pa.RecordBatch:
+    def answers(names: list[tuple[int, int, int]], owners: list[int], texts: list[np.ndarray]) -> pa.RecordBatch:
         index = Index(texts, np.array(owners, np.int64), window)
         at, size, earliest = [], [], []
-        for owner in index.owners_of_windows(texts, window):
+        for (_, _, skip), owner in zip(names, index.owners_of_windows(texts, window), strict=True):
             head = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
-            at.append(head)
+            at.append(head + skip)
             size.append(np.diff(np.concatenate((head, [len(owner)]))))
             earliest.append(owner[head])
         return pa.RecordBatch.from_arrays(
-            [pa.array([g for g, _ in names], pa.int64()), pa.array([c for _, c in names], pa.int64()), *(pa.array(x, out) for x in (at, size, earliest))],
+            [pa.array([g for g, *_ in names], pa.int64()), pa.array([c for _, c, _ in names], pa.int64()), *(pa.array(x, out) for x in (at, size, earliest))],
             names=["gram", "content", "at", "size", "earliest"],
         )
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by gram and content; an index ends with a gram."""
-        names, owners, texts, held = [], [], [], 0
+        """Rows come sorted by gram, second gram, content and place; an index ends with a pair of grams."""
+        last, names, owners, texts, held = None, [], [], [], 0
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("gram", "content", "owner", "words"))
-            for gram, content, owner, raw in zip(*columns, strict=True):
-                if held >= INDEX_WORDS and gram != names[-1][0]:
+            columns = (batch.column(c).to_pylist() for c in ("gram", "second", "content", "skip", "owner", "words"))
+            for gram, second, content, skip, owner, raw in zip(*columns, strict=True):
+                if held >= INDEX_WORDS and (gram, second) != last:
                     yield answers(names, owners, texts)
                     names, owners, texts, held = [], [], [], 0
-                if names and names[-1] == (gram, content):
+                last = (gram, second)
+                if names and names[-1] == (gram, content, skip):
                     owners[-1] = min(owners[-1], owner)
                     continue
-                names.append((gram, content))
+                names.append((gram, content, skip))
                 owners.append(owner)
                 texts.append(np.frombuffer(raw, np.uint64))
                 held += len(texts[-1])
@@ -297,7 +337,7 @@ def _search_shard(window: int):
     return search
 
 
-def repeated_intervals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def repeated_intervals(docs: DataFrame, window: int = WINDOW, hot_segments: int = HOT_SEGMENTS) -> DataFrame:
     """doc_id, key (of the text) and ``cuts``: word ranges (first, end) whose windows start in a document with a smaller doc_id."""
     rows = docs.where("doc_id is not null").select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"), "text")
     common = common_grams(docs)
@@ -305,14 +345,15 @@ def repeated_intervals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     listed = staged(rows.mapInArrow(_list_segments(common, window), f"doc_id long, key long, {lists}"), "segments")
     each = listed.select("doc_id", "key", F.explode(F.arrays_zip("start", "count", "gram", "content")).alias("s")).select("doc_id", "key", "s.*")
 
-    distinct = each.groupBy("gram", "content").agg(F.count("*").alias("n"), F.min("doc_id").alias("first"))
-    met = F.sum("n").over(Window.partitionBy("gram"))
-    wanted = staged(distinct.withColumn("met", met).where("met > 1").drop("met"), "wanted")
-    by_doc = wanted.groupBy("first").agg(F.collect_list(F.struct("gram", "content")).alias("wanted"))
+    distinct = staged(each.groupBy("gram", "content").agg(F.count("*").alias("n"), F.min("doc_id").alias("first")), "distinct")
+    grams = distinct.groupBy("gram").agg(F.sum("n").alias("met"), (F.count("*") > hot_segments).alias("hot")).where("met > 1")
+    wanted = staged(distinct.join(grams.select("gram", "hot"), "gram"), "wanted")
+    by_doc = wanted.groupBy("first").agg(F.collect_list(F.struct("gram", "content", "hot")).alias("wanted"))
     some = join_small(rows.select("doc_id", "text"), staged(wanted.select(F.col("first").alias("doc_id")).distinct(), "sources"), "doc_id", "left_semi")
     words = some.join(by_doc, F.col("doc_id") == F.col("first")).select("doc_id", "text", "wanted")
-    texts = words.mapInArrow(_words_of_segments(common, window), "gram long, content long, owner long, words binary")
-    dealt = texts.repartition("gram").sortWithinPartitions("gram", "content")
+    texts = words.mapInArrow(_words_of_segments(common, window), "gram long, content long, owner long, hot boolean, words binary")
+    pieces = texts.mapInArrow(_split_hot(common, window), "gram long, content long, owner long, second long, skip long, words binary")
+    dealt = pieces.repartition("gram", "second").sortWithinPartitions("gram", "second", "content", "skip")
     runs = "at array<long>, size array<long>, earliest array<long>"
     found = staged(dealt.mapInArrow(_search_shard(window), f"gram long, content long, {runs}"), "found")
 
