@@ -298,6 +298,12 @@ def _split_hot(common: np.ndarray, window: int):
     return split
 
 
+def _pieces(common: np.ndarray, window: int):
+    """Both in one step, so that a task has one Python worker."""
+    named, split = _words_of_segments(common, window), _split_hot(common, window)
+    return lambda batches: split(named(batches))
+
+
 def _search_shard(window: int):
     out = pa.list_(pa.int64())
 
@@ -351,8 +357,7 @@ def repeated_intervals(docs: DataFrame, window: int = WINDOW, hot_segments: int
     by_doc = wanted.groupBy("first").agg(F.collect_list(F.struct("gram", "content", "hot")).alias("wanted"))
     some = join_small(rows.select("doc_id", "text"), staged(wanted.select(F.col("first").alias("doc_id")).distinct(), "sources"), "doc_id", "left_semi")
     words = some.join(by_doc, F.col("doc_id") == F.col("first")).select("doc_id", "text", "wanted")
-    texts = words.mapInArrow(_words_of_segments(common, window), "gram long, content long, owner long, hot boolean, words binary")
-    pieces = texts.mapInArrow(_split_hot(common, window), "gram long, content long, owner long, second long, skip long, words binary")
+    pieces = words.mapInArrow(_pieces(common, window), "gram long, content long, owner long, second long, skip long, words binary")
     dealt = pieces.repartition("gram", "second").sortWithinPartitions("gram", "second", "content", "skip")
     runs = "at array<long>, size array<long>, earliest array<long>"
     found = staged(dealt.mapInArrow(_search_shard(window), f"gram long, content long, {runs}"), "found")
