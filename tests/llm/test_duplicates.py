@@ -125,34 +125,6 @@ def test_repeated_passages_equal_brute_force(documents, window, monkeypatch):
     assert got == plain_repeats(rows, window)
 
 
-def test_hot_grams_are_dealt_by_a_second_gram(documents, monkeypatch):
-    """A phrase within many texts, some of which share more around it; every gram counts as hot, and none does."""
-    monkeypatch.setattr(passages, "INDEX_WORDS", 500)
-    monkeypatch.setattr(passages, "COMMON", 1)
-    rng = random.Random(4)
-    prose = lambda n: " ".join(rng.choice(WORDS) for _ in range(n))
-    phrase, around = prose(12), [(prose(45), prose(45)) for _ in range(6)]
-    rows = []
-    for i in range(150):
-        before, after = rng.choice(around)[0] if i % 3 else prose(45), rng.choice(around)[1] if i % 2 else prose(45)
-        rows.append((i, f"{prose(5)} {before} {phrase} {after} {'x ' * (60 * (i % 7 == 0))}{prose(5)}"))
-    want = {}
-    for hot in (0, 1, passages.HOT_SEGMENTS):
-        cuts = passages.repeated_intervals(documents(rows), 50, hot).collect()
-        covered = {r.doc_id: len({w for c in r.cuts for w in range(c["first"], c["end"])}) for r in cuts}
-        want = want or {i: n for i, (_, n, _) in plain_repeats(rows, 50).items() if n}
-        assert covered == want
-
-
-def test_second_grams_by_hand():
-    hashes = np.random.default_rng(3).integers(0, 9, 200).astype(np.uint64)
-    at = np.arange(193)
-    keys = passages.ranked(passages.mix(passages.polynomial(hashes, at, at + 8) + np.uint64(8)), np.zeros(0, np.uint64))
-    gram = int(np.sort(keys)[5])
-    got = passages.second_grams(hashes, gram, np.zeros(0, np.uint64), 50)
-    assert got.tolist() == [min(int(k) for k in keys[i : i + 43] if int(k) != gram) for i in range(151)]
-
-
 def test_common_passages_are_one_segment(documents):
     rng = random.Random(1)
     passage = " ".join(rng.choice(WORDS) for _ in range(60))
