@@ -12,8 +12,10 @@ to the rows, in two steps:
   of it or take part under a scattered hash, so that they stay spread out.
 
 Rejects come from inner joins, so rows without copies are not shuffled beyond
-what a Bloom filter lets through.  Positions are compared between two scans:
-hits of text files are staged with theirs first.
+what a Bloom filter lets through.  If there are few repeated keys at all, they
+are broadcast as a whole and a plan that looks for other rejects as well finds
+all of them in one scan (``quality.error_rows``).  Positions are compared
+between two scans: hits of text files are staged with theirs first.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ from clicktrail.session import Staging
 from clicktrail.sources.hits import with_stored_positions
 
 HOT_KEYS = 10_000
+# Repeated keys that are broadcast together: a count of them decides, at some 100 bytes each.
+BROADCAST_KEYS = 200_000
 _HASH = "_key_hash"
 _HASHES = [_HASH, "_key_hash_2"]
 
@@ -52,16 +56,35 @@ def _with_key(hits: DataFrame, rules: Rules, scope: Sequence[str]) -> DataFrame:
     return keyed.withColumns({h: F.xxhash64(F.lit(i), *scope, *names) for i, h in enumerate(_HASHES)})
 
 
-def _repeated(hits: DataFrame, rules: Rules, scope: Sequence[str], stage: Stage | None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Rows with keys, the hot repeated keys, and the other repeated keys, both with ``_first`` position.
+def repeated_keys(hits: DataFrame, rules: Rules, scope: Sequence[str], stage: Stage) -> DataFrame:
+    """Keys with more than one copy: two hashes, ``_first`` position and ``_copies``; staged, since it is read several times.
 
-    The table of repeated keys is read several times, so it is staged.
+    The positions of the hits are stored.
     """
+    rows = _with_key(hits, rules, scope)
+    copies = rows.groupBy(*_HASHES).agg(F.min("pos").alias("_first"), F.count(F.lit(1)).alias("_copies"))
+    return stage(copies.where(F.col("_copies") > 1))
+
+
+def first_positions(hits: DataFrame, rules: Rules, repeated: DataFrame, valid: Column, scope: Sequence[str] = ()) -> DataFrame:
+    """Rows with their key and, where the key is one of the (few) repeated ones, its ``_first`` position; nothing is shuffled.
+
+    Rows that are not valid have no copies.
+    """
+    rows = _with_key(hits, rules, scope)
+    rows = rows.withColumns({h: F.when(valid, F.col(h)) for h in _HASHES})
+    return rows.join(F.broadcast(repeated.drop("_copies")), _HASHES, "left")
+
+
+def _repeated(
+    hits: DataFrame, rules: Rules, scope: Sequence[str], stage: Stage | None, repeated: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows with keys, the hot repeated keys, and the other repeated keys, both with ``_first`` position."""
     stage = stage or Staging(hits.sparkSession, "repeated-keys")
-    rows = _with_key(with_stored_positions(hits, stage), rules, scope)
-    repeated = stage(
-        rows.groupBy(*_HASHES).agg(F.min("pos").alias("_first"), F.count(F.lit(1)).alias("_copies")).where(F.col("_copies") > 1)
-    )
+    hits = with_stored_positions(hits, stage)
+    rows = _with_key(hits, rules, scope)
+    if repeated is None:
+        repeated = repeated_keys(hits, rules, scope, stage)
     is_hot = F.col("_copies") * HOT_KEYS > repeated.agg(F.sum("_copies")).scalar()
     return rows, repeated.where(is_hot).drop("_copies"), repeated.where(~is_hot).drop("_copies")
 
@@ -83,15 +106,26 @@ def keep_any(hits: DataFrame, rules: Rules) -> DataFrame:
     return keyed.dropDuplicates(_key_names(hits, rules)).select(*hits.columns)
 
 
-def duplicate_rejects(hits: DataFrame, rules: Rules, scope: Sequence[str] = (), stage: Stage | None = None) -> DataFrame:
-    """All later copies, with the key they repeat."""
+def duplicate_reason(hits: DataFrame, rules: Rules) -> Column:
+    """The reason of a later copy, for rows with their key."""
     names = _key_names(hits, rules)
     parts: list[Column] = [F.lit("duplicate_row: key=('")]
     for i, name in enumerate(names):
         parts += [F.lit("', '")] if i else []
         parts.append(F.col(name))
-    reason = F.concat(*parts, F.lit("',)" if len(names) == 1 else "')"))
-    rows, hot, others = _repeated(hits, rules, scope, stage)
+    return F.concat(*parts, F.lit("',)" if len(names) == 1 else "')"))
+
+
+def duplicate_rejects(
+    hits: DataFrame,
+    rules: Rules,
+    scope: Sequence[str] = (),
+    stage: Stage | None = None,
+    repeated: DataFrame | None = None,
+) -> DataFrame:
+    """All later copies, with the key they repeat; ``repeated`` are their keys where the caller has them."""
+    reason = duplicate_reason(hits, rules)
+    rows, hot, others = _repeated(hits, rules, scope, stage, repeated)
     of_hot = rows.join(F.broadcast(hot), _HASHES)
     of_others = rows.join(F.broadcast(hot.drop("_first")), _HASHES, "left_anti").join(others, _HASHES)
     later = F.col("_first") != F.col("pos")
@@ -111,11 +145,14 @@ def first_of_each(rows: DataFrame, keys: Sequence[str], keep: Sequence[str] = ()
     """Keep-first for narrow rows in one aggregation; of the keys only ``keep`` stays.
 
     Cheaper than :func:`keep_first` when a row is only a few parsed values:
-    one pass and one shuffle, with copies combined on the map side.
+    one pass and one shuffle, with copies combined on the map side.  ``_repeated``
+    is what :func:`repeated_keys` says of the key, and NULL if it has one copy.
     """
     values = [c for c in rows.columns if c not in keys]
+    hashes = [F.xxhash64(F.lit(i), *keys).alias(h) for i, h in enumerate(_HASHES)]
+    repeated = F.struct(*hashes, F.col("_row.pos").alias("_first"), F.col("_copies"))
     return (
         rows.groupBy(F.xxhash64(*keys).alias(_HASH), *keys)
-        .agg(F.min_by(F.struct(*values), F.col("pos")).alias("_row"))
-        .select(*keep, *[F.col(f"_row.{c}").alias(c) for c in values])
+        .agg(F.min_by(F.struct(*values), F.col("pos")).alias("_row"), F.count(F.lit(1)).alias("_copies"))
+        .select(*keep, *[F.col(f"_row.{c}").alias(c) for c in values], F.when(F.col("_copies") > 1, repeated).alias("_repeated"))
     )

@@ -1,7 +1,8 @@
 """Row and column checks with row-level rejects.
 
-Rejects carry the whole row plus ``_error_reason``.  Nothing here runs a job;
-:func:`profile` is a single aggregate a caller may collect (one row).
+Rejects carry the whole row plus ``_error_reason``.  Only :func:`error_rows`
+runs jobs, to know the repeated keys; :func:`profile` is a single aggregate a
+caller may collect (one row).
 """
 
 from __future__ import annotations
@@ -12,8 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clicktrail.functions.text import is_blank, masked
-from clicktrail.operators.dedup import Stage, dedup_key, duplicate_rejects
+from clicktrail.operators import dedup
+from clicktrail.operators.dedup import Stage, dedup_key
 from clicktrail.rules import TYPE_NAMES, Rules
+from clicktrail.session import Staging
+from clicktrail.sources.hits import with_stored_positions
 
 REASON = "_error_reason"
 
@@ -111,17 +115,26 @@ def type_rejects(hits: DataFrame, rules: Rules) -> DataFrame:
     return _with_reasons(hits.where(has_type_error(rules, hits.columns)), _type_reasons(rules, hits.columns))
 
 
-def profile(hits: DataFrame, rules: Rules) -> DataFrame:
-    """One row: how many rows, how many fail, and blanks per column - a single map-side aggregate."""
+def profile_counts(hits: DataFrame, rules: Rules) -> list[Column]:
+    """How many rows, how many fail, how many type errors there are, and blanks per column."""
     blanks = [F.count_if(is_blank(F.col(c))).alias(f"blank_{c}") for c in data_columns(hits)]
     null_critical = has_null_critical(rules, hits.columns)
-    return hits.agg(
+    type_errors = F.lit(0)
+    for c, dtype in _typed(rules, hits.columns):
+        type_errors = type_errors + F.when(_type_error(c, dtype), 1).otherwise(0)
+    return [
         F.count(F.lit(1)).alias("rows_in"),
         F.count_if(null_critical).alias("null_failed"),
         F.count_if(~null_critical & has_type_error(rules, hits.columns)).alias("type_failed"),
         F.count_if(~is_valid(rules, hits.columns)).alias("rows_failed"),
+        F.coalesce(F.sum(type_errors), F.lit(0)).alias("type_errors"),
         *blanks,
-    )
+    ]
+
+
+def profile(hits: DataFrame, rules: Rules) -> DataFrame:
+    """One row of :func:`profile_counts` - a single map-side aggregate."""
+    return hits.agg(*profile_counts(hits, rules))
 
 
 def null_counts(hits: DataFrame) -> DataFrame:
@@ -188,10 +201,33 @@ def row_rejects(hits: DataFrame, rules: Rules) -> DataFrame:
     return _with_reasons(hits.where(~is_valid(rules, hits.columns)), reasons)
 
 
-def error_rows(hits: DataFrame, rules: Rules, scope: Sequence[str] = (), stage: Stage | None = None) -> DataFrame:
-    """All rejects: blank critical columns, bad types (if the rules reject them), duplicates."""
-    valid = hits.where(is_valid(rules, hits.columns))
-    return row_rejects(hits, rules).unionByName(duplicate_rejects(valid, rules, scope, stage))
+def error_rows(
+    hits: DataFrame,
+    rules: Rules,
+    scope: Sequence[str] = (),
+    stage: Stage | None = None,
+    repeated: DataFrame | None = None,
+) -> DataFrame:
+    """All rejects: blank critical columns, bad types (if the rules reject them), duplicates.
+
+    ``repeated`` are the repeated keys of the valid hits, where the caller has them.  They are counted: up to
+    ``dedup.BROADCAST_KEYS`` of them are broadcast, and one scan without a shuffle gives each row all its reasons;
+    more are joined, apart from the rejects that a row alone tells.
+    """
+    stage = stage or Staging(hits.sparkSession, "errors")
+    hits = with_stored_positions(hits, stage)
+    is_good = is_valid(rules, hits.columns)
+    if repeated is None:
+        repeated = dedup.repeated_keys(hits.where(is_good), rules, scope, stage)
+    if repeated.count() > dedup.BROADCAST_KEYS:
+        copies = dedup.duplicate_rejects(hits.where(is_good), rules, scope, stage, repeated)
+        return row_rejects(hits, rules).unionByName(copies)
+    rows = dedup.first_positions(hits, rules, repeated, is_good, scope)
+    later = F.coalesce(F.col("_first") != F.col("pos"), F.lit(False))
+    reasons = _null_reasons(rules, hits.columns)
+    reasons += _type_reasons(rules, hits.columns) if rules.reject_type_errors else []
+    reasons.append(F.when(later, dedup.duplicate_reason(hits, rules)))
+    return _with_reasons(rows.where(~is_good | later), reasons).select(*hits.columns, REASON)
 
 
 def masked_errors(errors: DataFrame, rules: Rules) -> DataFrame:

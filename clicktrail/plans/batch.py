@@ -1,12 +1,15 @@
 """One run over a set of hits: check, clean, attribute, publish, record.
 
 Text files are parsed once, into a staged table that stores each row's
-position.  That table is read by one aggregate (the quality profile), one pass
-that deduplicates and stages the few columns attribution needs, and - only when
-there is something to reject - the passes that find and write the rejects.
-
-Counts come from aggregates and from the written tables, not from accumulators
-on shuffle stages, so a lost executor cannot inflate them.
+position; the quality profile is taken while it is written.  That table is
+read by one pass that deduplicates, notes which keys are repeated and stages
+the few columns attribution needs, by a count over two columns (shared session
+keys), and - only when there is something to reject - by the pass that finds
+and writes all rejects.
+
+Counts come from aggregates, from the written tables and from what was observed
+in the write of the staged table, whose tasks count once each however often
+they run; never from accumulators on shuffle stages.
 """
 
 from __future__ import annotations
@@ -23,29 +26,30 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from clicktrail.operators.activity import parsed, relevant
-from clicktrail.operators.dedup import dedup_key, duplicate_rejects, first_of_each
+from clicktrail.operators.dedup import dedup_key, first_of_each
 from clicktrail.operators.quality import (
     NullValidationError,
     SchemaValidationError,
     check_schema,
     data_columns,
+    error_rows,
     is_valid,
     missing_columns,
     profile,
+    profile_counts,
     row_rejects,
     schema_rejects,
-    type_rejects,
 )
-from clicktrail.plans.reports import report_of, sem_insights, shared_session_keys
+from clicktrail.plans.reports import report_of, sem_insights, shared_session_count
 from clicktrail.rules import Rules
 from clicktrail.session import Staging
 from clicktrail.sinks import archive as archives
 from clicktrail.sinks import files, outputs
-from clicktrail.sources.hits import with_stored_positions
+from clicktrail.sources.hits import has_stored_positions
 
 log = logging.getLogger(__name__)
 
@@ -93,7 +97,7 @@ def with_missing(hits: DataFrame, rules: Rules) -> DataFrame:
 
 
 def clean_activity(hits: DataFrame, rules: Rules, scope: Sequence[str] = ()) -> DataFrame:
-    """Parsed first copies of all valid hits, one row per key.
+    """Parsed first copies of all valid hits, one row per key, and what makes the key a repeated one.
 
     Parsing happens before the shuffle, so only keys and parsed values move.
     The scope is part of the key: files attributed on their own are also
@@ -119,12 +123,32 @@ def staged_activity(hits: DataFrame, rules: Rules, path: str, scope: Sequence[st
     tagged = clean.withColumn("_relevant", F.coalesce(F.col("domain").isNotNull() | F.col("is_purchase"), F.lit(False)))
     kept = tagged.select(
         *scope,
-        *[F.when(F.col("_relevant"), F.col(c)).alias(c) for c in clean.columns if c not in scope],
+        *[F.when(F.col("_relevant"), F.col(c)).alias(c) for c in clean.columns if c not in (*scope, "_repeated")],
+        "_repeated",
         "_relevant",
     )
     kept.write.partitionBy("_relevant").parquet(path)
     table = hits.sparkSession.read.schema(kept.schema).parquet(path)
-    return relevant(table.where("_relevant").drop("_relevant")), table
+    return relevant(table.where("_relevant").drop("_relevant", "_repeated")), table
+
+
+def repeated_in(staged: DataFrame) -> DataFrame:
+    """The repeated keys that :func:`staged_activity` noted."""
+    return staged.where(F.col("_repeated").isNotNull()).select("_repeated.*")
+
+
+def staged_hits(hits: DataFrame, rules: Rules, stage: Staging) -> tuple[DataFrame, dict | None]:
+    """Hits whose positions hold for every later scan, and their profile if it could be taken on the way.
+
+    It cannot for hits that need no staging or lack columns.
+    """
+    if has_stored_positions(hits):
+        return hits, None
+    if missing_columns(hits, rules):
+        return stage(hits), None
+    seen = Observation("profile")
+    staged = stage(hits.observe(seen, *profile_counts(hits, rules)))
+    return staged, seen.get
 
 
 def run_batch(
@@ -161,7 +185,8 @@ def run_batch(
     stage = Staging(spark, "run")
     try:
         read = hits.inputFiles() if archive else []
-        summary = _checked_run(spark, with_stored_positions(hits, stage), out, rules, run, stage, lineage, layout)
+        staged, facts = staged_hits(hits, rules, stage)
+        summary = _checked_run(spark, staged, facts, out, rules, run, stage, lineage, layout)
         if archive:
             archives.archive_files(spark, [unquote(path) for path in read], archive, run.run_id)
         lineage["status"] = "SUCCESS"
@@ -179,7 +204,15 @@ def run_batch(
 
 
 def _checked_run(
-    spark: SparkSession, hits: DataFrame, out: str, rules: Rules, run: Run, stage: Staging, lineage: dict, layout: str
+    spark: SparkSession,
+    hits: DataFrame,
+    facts: dict | None,
+    out: str,
+    rules: Rules,
+    run: Run,
+    stage: Staging,
+    lineage: dict,
+    layout: str,
 ) -> dict:
     report = {
         "run_id": run.run_id,
@@ -213,7 +246,7 @@ def _checked_run(
         raise SchemaValidationError(f"missing columns {schema['missing']}")
 
     hits = with_missing(hits, rules)
-    facts = profile(hits, rules).first().asDict()
+    facts = facts or profile(hits, rules).first().asDict()
     rows_in, failed = facts["rows_in"], facts["rows_failed"]
     lineage["input_rows"] = rows_in
     rates = {
@@ -233,7 +266,6 @@ def _checked_run(
     )
     for c, pct in report["checks"][-1]["warnings"].items():
         log.warning("column %s is blank in %s%% of %d rows", c, pct, rows_in)
-    rejects = row_rejects(hits, rules)
     reasons = sum(facts.get(f"blank_{c}", 0) for c in rules.critical_columns)
     if rules.reject_type_errors:
         report["checks"].append(
@@ -244,10 +276,10 @@ def _checked_run(
                 "total_rows": rows_in,
             }
         )
-        reasons += type_rejects(hits, rules).count()
+        reasons += facts["type_errors"]
     if facts["null_failed"] and rules.fail_on_null_critical:
         report["error_count"] = reasons
-        store_errors(rejects)
+        store_errors(row_rejects(hits, rules))
         store_quality()
         raise NullValidationError(
             f"{facts['null_failed']} row(s) have no value in critical columns {list(rules.critical_columns)}"
@@ -261,15 +293,13 @@ def _checked_run(
         {"check": "duplicate_check", "passed": True, "duplicate_count": duplicates, "rows_before": before, "rows_after": rows_out}
     )
     report |= {"rows_out": rows_out, "error_count": reasons + duplicates}
-    if duplicates:
-        rejects = rejects.unionByName(duplicate_rejects(hits.where(is_valid(rules, hits.columns)), rules, stage=stage))
     if failed or duplicates:
-        store_errors(rejects)
+        store_errors(error_rows(hits, rules, stage=stage, repeated=repeated_in(clean)))
 
     with not_fatal("warning of shared session keys"):
-        shared = shared_session_keys(hits.where(is_valid(rules, hits.columns)), rules).count()
-        if shared:
-            log.warning("%d session keys are used with several user agents", shared)
+        for shared in shared_session_count(hits.where(is_valid(rules, hits.columns)), rules).collect():  # one row
+            if shared["count"]:
+                log.warning("%d session keys are used with several user agents", shared["count"])
     # Runs of one day over different inputs keep their own reports.
     target = f"{outputs.day_folder(f'{out}/processed', run.when, run.phase)}/source={run.source}"
     output_file, output_rows = outputs.write_keyword_report(report_of(act, rules, stage=stage), target, run.when, rules, layout)

@@ -182,6 +182,24 @@ def shared_session_keys(hits: DataFrame, rules: Rules = Rules(), scope: Sequence
     )
 
 
+def shared_session_count(hits: DataFrame, rules: Rules = Rules(), scope: Sequence[str] = ()) -> DataFrame:
+    """How many session keys are shared, per scope as ``count``: one shuffle of a key and two hashes.
+
+    A key has several agents if the least and the greatest hash of them differ.
+    """
+    session = stripped(F.col(rules.session_key_column))
+    agent = F.when(F.col("user_agent").isNotNull(), F.xxhash64("user_agent"))
+    return (
+        hits.select(*scope, session.alias("session"), agent.alias("agent"))
+        .where(F.col("session") != "")
+        .groupBy(*scope, "session")
+        .agg(F.min("agent").alias("low"), F.max("agent").alias("high"))
+        .where(F.col("low") < F.col("high"))
+        .groupBy(*scope)
+        .count()
+    )
+
+
 def reconcile_clicks(billed: DataFrame, act: DataFrame) -> DataFrame:
     """Clicks an ad platform billed ``(domain, keyword, billed_clicks)`` against what was recorded.
 

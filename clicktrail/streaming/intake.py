@@ -22,11 +22,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from clicktrail.functions.paths import file_name, phase_label
 from clicktrail.functions.text import is_blank
-from clicktrail.operators.dedup import duplicate_rejects
-from clicktrail.operators.quality import data_columns, has_null_critical, is_valid, masked_errors, row_rejects
-from clicktrail.plans.batch import commit_id, not_fatal, staged_activity
+from clicktrail.operators.quality import data_columns, error_rows, has_null_critical, is_valid, masked_errors
+from clicktrail.plans.batch import commit_id, not_fatal, repeated_in, staged_activity
 from clicktrail.plans.models import credit, keyword_revenue
-from clicktrail.plans.reports import named_report, report_as_text, shared_session_keys
+from clicktrail.plans.reports import named_report, report_as_text, shared_session_count
 from clicktrail.rules import Rules
 from clicktrail.session import Staging
 from clicktrail.sinks import files, outputs
@@ -233,9 +232,9 @@ class Intake:
         kept = sum(facts[k].get("rows_out", 0) for k in taken if k in facts)
         if expected != kept or any(f["rows_failed"] for f in facts.values()):
             with not_fatal("rejected rows"):
-                self._write_errors(hits, good, stage, entries, batch_id)
+                self._write_errors(hits, repeated_in(clean), stage, entries, batch_id)
         with not_fatal("warning of shared session keys"):
-            for r in shared_session_keys(good, rules, scope).groupBy(*scope).count().collect():  # one row per file
+            for r in shared_session_count(good, rules, scope).collect():  # one row per file
                 log.warning("%s/%s: %d session keys with several user agents", r["phase"], r["file_name"], r["count"])
         return facts
 
@@ -270,9 +269,9 @@ class Intake:
             for part in files.part_files(self.spark, folder):
                 files.move(self.spark, part, f"{folder}/{outputs.report_file_name(self.rules, day)}")
 
-    def _write_errors(self, hits: DataFrame, good: DataFrame, stage: Staging, entries: list[dict], batch_id: int) -> None:
-        valid = good.where(is_valid(self.rules, good.columns))
-        errors = row_rejects(hits, self.rules).unionByName(duplicate_rejects(valid, self.rules, FILE_KEY, stage))
+    def _write_errors(self, hits: DataFrame, repeated: DataFrame, stage: Staging, entries: list[dict], batch_id: int) -> None:
+        """Rejects of all files; keys hold the file, so only files that were taken have repeated ones."""
+        errors = error_rows(hits, self.rules, FILE_KEY, stage, repeated)
         flat = masked_errors(errors, self.rules).drop("pos", "source_file")
         dated = self._dated(flat, entries).withColumn("batch_id", F.lit(batch_id))
         outputs.write_partitioned(dated, f"{self.out}/dq-errors", [*DAY, "batch_id"], "csv", header=True)

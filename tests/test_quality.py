@@ -113,9 +113,10 @@ def messy(seed, n):
     ]
 
 
-@pytest.mark.parametrize("seed, hot_keys", [(0, 10_000), (1, 1), (2, 8)])
-def test_every_row_is_either_kept_or_rejected(spark, monkeypatch, seed, hot_keys):
+@pytest.mark.parametrize("seed, hot_keys, few", [(0, 10_000, 0), (1, 1, 0), (2, 8, 0), (3, 10_000, 10_000)])
+def test_every_row_is_either_kept_or_rejected(spark, monkeypatch, seed, hot_keys, few):
     monkeypatch.setattr(dedup, "HOT_KEYS", hot_keys)
+    monkeypatch.setattr(dedup, "BROADCAST_KEYS", few)
     hits = frame(spark, messy(seed, 200), 4)
     valid = hits.where(quality.is_valid(RULES, hits.columns))
     kept = {r["pagename"] for r in dedup.keep_first(valid, RULES).collect()}
@@ -137,3 +138,21 @@ def test_one_key_with_most_rows_is_split_over_tasks(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_rejects_are_the_same_however_repeated_keys_are_joined(spark, monkeypatch):
+    rules = RULES.but(reject_type_errors=True)
+    hits = frame(spark, messy(7, 300), 4)
+    got = []
+    for few in (0, 10_000):
+        monkeypatch.setattr(dedup, "BROADCAST_KEYS", few)
+        got.append(Counter((r["pagename"], r[quality.REASON]) for r in quality.error_rows(hits, rules).collect()))
+    assert got[0] == got[1] and {reason.split(":")[0] for _, reason in got[1]} == {"null_critical_column", "type_error", "duplicate_row"}
+
+
+def test_few_repeated_keys_take_one_scan_without_shuffle(spark, tmp_path):
+    frame(spark, messy(4, 60), 2).write.parquet(str(tmp_path / "h"))
+    errors = quality.error_rows(spark.read.parquet(str(tmp_path / "h")), RULES)
+    plan = errors._jdf.queryExecution().executedPlan().toString()
+    # The other scan is that of the repeated keys.
+    assert plan.count("FileScan parquet") == 2 and "Exchange hashpartitioning" not in plan

@@ -144,6 +144,7 @@ def test_shared_session_keys(spark):
     rows = [hit(1, "a", agent="x"), hit(2, "a", agent="y"), hit(3, "b", agent="x"), hit(4, "b", agent="x")]
     rows += [hit(5, " ", agent="x"), hit(6, " ", agent="y"), hit(7, "v", agent="x"), hit(8, "v ", agent="y"), hit(9, None, agent="z")]
     assert sorted(rows_of(reports.shared_session_keys(frame(spark, rows)))) == [("a", 2), ("v", 2)]
+    assert rows_of(reports.shared_session_count(frame(spark, rows))) == [(2,)]
 
 
 def test_plans_have_no_python_and_one_scan(spark, tmp_path):

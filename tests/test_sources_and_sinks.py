@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from clicktrail.__main__ import main
 from clicktrail.operators.quality import NullValidationError, SchemaValidationError
-from clicktrail.operators import dedup
-from clicktrail.plans import reports
+from clicktrail.operators import dedup, quality
+from clicktrail.plans import batch, reports
 from clicktrail.plans.batch import Run, run_batch, run_sem
 from clicktrail.rules import HIT_COLUMNS, Rules
-from clicktrail.session import shared_dir
+from clicktrail.session import Staging, shared_dir
 from clicktrail.sinks import files, outputs
 from clicktrail.sources import manifest
 from clicktrail.sources.hits import read_hits
@@ -387,3 +387,14 @@ def test_command_line(spark, tmp_path, capsys):
     args = ["--input", str(tmp_path / "in"), "--output", str(tmp_path / "i"), "--checkpoint", str(tmp_path / "c")]
     assert main(["intake", *args]) == 0
     assert os.path.exists(tmp_path / "i" / "archive" / "phase1" / "hits_20260225_143000.tab")
+
+
+def test_profile_is_taken_while_hits_are_staged(spark, tmp_path):
+    rows = anchor_hits() + [hit("", ""), hit("abc", "t")]
+    path = put(tmp_path / "h.tab", tab_text(rows))
+    rules = RULES.but(reject_type_errors=True)
+    hits = read_hits(spark, path, rules)
+    staged, facts = batch.staged_hits(hits, rules, Staging(spark, "seen"))
+    assert facts == quality.profile(staged, rules).first().asDict()
+    assert (facts["rows_in"], facts["null_failed"], facts["type_errors"]) == (len(rows), 1, 1)
+    assert batch.staged_hits(hits.drop("referrer"), rules, Staging(spark, "seen"))[1] is None
