@@ -398,3 +398,9 @@ def test_profile_is_taken_while_hits_are_staged(spark, tmp_path):
     assert facts == quality.profile(staged, rules).first().asDict()
     assert (facts["rows_in"], facts["null_failed"], facts["type_errors"]) == (len(rows), 1, 1)
     assert batch.staged_hits(hits.drop("referrer"), rules, Staging(spark, "seen"))[1] is None
+
+
+def test_a_file_with_a_header_alone_is_a_run_of_no_rows(spark, tmp_path):
+    path = put(tmp_path / "h.tab", tab_text([]))
+    summary = run_batch(spark, read_hits(spark, path), str(tmp_path / "out"), RULES, Run(path, when=WHEN))
+    assert (summary["input_rows"], summary["clean_rows"], summary["status"]) == (0, 0, "SUCCESS")
