@@ -318,8 +318,8 @@ def _classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, Data
         members = join_small(known, cells, F.col("doc_id") == F.col("_node"), "inner").select("cell", "doc_id", "text")
         sets = members.mapInArrow(_sets(words, exact), "cell long, doc_id long, n long, bits binary, shingles binary").where("n > 0")
         dealt = _deal(staged(sets, "sets"), percent).repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j")
-        links = dealt.mapInArrow(_compare(percent), "a long, b long")
-        cells = components(links)
+        # Written before they are united, so that one Python worker runs in a task.
+        cells = components(staged(dealt.mapInArrow(_compare(percent), "a long, b long"), "similar"))
     joined = summary.join(nodes.select("key", "n", "node", "n_equal"), ["key", "n"], "left")
     return joined.join(cells.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").drop("_node"), nodes
 

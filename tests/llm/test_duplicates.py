@@ -67,6 +67,18 @@ def test_similar_documents_on_odd_rows(documents):
     assert jaccard.similar_documents(documents(rows).where("false")).count() == 0
 
 
+def test_one_python_worker_runs_in_a_task(documents, family, monkeypatch):
+    plans, real = [], jaccard.components
+
+    def seen(links, *names):
+        plans.append(links._jdf.queryExecution().executedPlan().toString().split("Exchange")[0])
+        return real(links, *names)
+
+    monkeypatch.setattr(jaccard, "components", seen)
+    assert jaccard.similar_documents(documents(family)).count() == len(family)
+    assert len(plans) == 3 and not any("MapInArrow" in plan for plan in plans)  # components puts one of its own on top
+
+
 def test_one_of_equal_rows_stays(documents):
     text = "a b c d e f g"
     assert jaccard.one_of_each(documents([(4, text)] * 4 + [(None, text)] * 3)).count() == 1
