@@ -170,12 +170,17 @@ def crlf_normalize(spark, sf_dir):
 # -- sources -----------------------------------------------------------------
 
 
+def _hit_parts(hits: DataFrame, folder: str) -> list[str]:
+    """Write hits as tab-delimited files, one for each task."""
+    keep_blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    hits.select(*HIT_COLUMNS).write.options(sep="\t", header=True, escape='"', emptyValue="", **keep_blanks).csv(folder)
+    return files.part_files(hits.sparkSession, folder)
+
+
 def _hit_files(spark: SparkSession, hits: DataFrame, stem: str = "hits") -> str:
     """Write hits as tab-delimited files in arrival order, named as the contract asks."""
     folder = new_path(spark, "landing")
-    keep_blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    hits.select(*HIT_COLUMNS).write.options(sep="\t", header=True, escape='"', emptyValue="", **keep_blanks).csv(f"{folder}/parts")
-    for i, part in enumerate(files.part_files(spark, f"{folder}/parts")):
+    for i, part in enumerate(_hit_parts(hits, f"{folder}/parts")):
         stamp = datetime(2024, 1, 31) + timedelta(seconds=i)
         files.move(spark, part, f"{folder}/raw/phase2/{stem}_{stamp:%Y%m%d_%H%M%S}.tab")
     return f"{folder}/raw"
@@ -314,17 +319,17 @@ def two_runs_one_day(spark, sf_dir):
 
 @query
 def archived_inputs(spark, sf_dir):
-    """What a run leaves in its archive of two files of one name, read back: nothing replaced, nothing lost."""
+    """What a run leaves in its archive of two folders, whose files all have one name, read back: nothing replaced, nothing lost."""
     folder = new_path(spark, "landing")
     half = F.substring_index(F.trim("ip"), ".", -1).try_cast("int") % 2
     for i in (0, 1):
-        part = _hit_files(spark, _hits(spark, sf_dir).where(half == i).coalesce(1))
-        (path,) = files.part_files(spark, f"{part}/phase2", prefix="hits_")
-        files.move(spark, path, f"{folder}/half{i}/hits.tab")
+        for n, part in enumerate(_hit_parts(_hits(spark, sf_dir).where(half == i), f"{folder}/parts{i}")):
+            files.move(spark, part, f"{folder}/half{i}/{n}/hits.tab")
     rules = RULES.but(fail_on_null_critical=False)
-    run_batch(spark, read_hits(spark, f"{folder}/*/hits.tab", rules), f"{folder}/out", rules, Run("*/hits.tab", when=WHEN), archive=f"{folder}/kept")
-    kept = read_hits(spark, [f"{folder}/kept/half{i}/hits.tab" for i in (0, 1)], rules)
-    name = F.regexp_extract("source_file", r"(half\d/hits\.tab)$", 1)
+    pattern = "half*/*/hits.tab"
+    run_batch(spark, read_hits(spark, f"{folder}/{pattern}", rules), f"{folder}/out", rules, Run(pattern, when=WHEN), archive=f"{folder}/kept")
+    kept = read_hits(spark, f"{folder}/kept/{pattern}", rules)
+    name = F.regexp_replace("source_file", r"^.*/(half\d)/\d+/(hits\.tab)$", "$1/$2")
     return kept.groupBy(name.alias("archived")).agg(
         F.count(F.lit(1)).alias("row_count"),
         F.sum(F.col("hit_time_gmt").try_cast("bigint")).alias("time_sum"),

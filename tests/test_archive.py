@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+from datetime import datetime
 
 import pytest
 
+from clicktrail import catalog
 from clicktrail.__main__ import main
 from clicktrail.plans.batch import Run, run_batch
 from clicktrail.rules import Rules
@@ -105,3 +107,16 @@ def test_an_ordinary_run_leaves_no_plan(spark, tmp_path):
     path = put(tmp_path / "in" / "hits.tab", tab_text(anchor_hits()))
     run_batch(spark, read_hits(spark, path), str(tmp_path / "o"), RULES, Run(path), archive=str(tmp_path / "kept"))
     assert files.children(spark, str(tmp_path / "kept" / "_moves" / "pending")) == [] and set(found(tmp_path / "kept")) == {"hits.tab"}
+
+
+@pytest.mark.parametrize("users", [400, 1, 0])
+def test_every_task_writes_its_part_of_a_half(spark, tmp_path, monkeypatch, users):
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    rows = [(i, datetime(2024, 1, 31, 12, 0, i % 60), i, "view", 1.0, '{"k": 3}') for i in range(users)]
+    spark.createDataFrame(rows, schema).repartition(4).write.parquet(f"{tmp_path}/events.parquet")
+    moved, real = [], archive.archive_files
+    monkeypatch.setattr(archive, "archive_files", lambda spark, sources, *rest: moved.extend(sources) or real(spark, sources, *rest))
+    got = {r.archived: r.row_count for r in catalog.archived_inputs(spark, str(tmp_path)).collect()}
+    halves = {f"half{i}/hits.tab": len(range(i, users, 2)) for i in (0, 1)}
+    assert got == {name: n for name, n in halves.items() if n}
+    assert len(moved) == (8 if users == 400 else 2) and {os.path.basename(path) for path in moved} == {"hits.tab"}
