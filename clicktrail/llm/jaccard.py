@@ -1,9 +1,10 @@
 """Documents whose sets of word shingles are similar, by trees of signatures.
 
 Sets that can be similar differ in few shingles.  If the space of shingle hashes is cut into more segments than
-that, two similar sets agree in one whole segment at least.  Equal segments therefore put sets into cells, and
-all links lie within cells.  In a cell, a tree is built over the sets: its nodes hold the bitmaps of their
-shingles combined by OR and their range of sizes, and a dual traversal leaves out the pairs of nodes whose
+that, two similar sets agree in several whole segments.  A set therefore leaves out as many of its most common ones
+as this allows, so that a passage which unlike texts share does not join them.  Equal segments among the others put
+sets into cells, and all links lie within cells.  In a cell, a tree is built over the sets: its nodes hold the bitmaps
+of their shingles combined by OR and their range of sizes, and a dual traversal leaves out the pairs of nodes whose
 largest possible overlap is too small, or that are connected already.  What is left is compared exactly.
 """
 
@@ -20,11 +21,12 @@ from pyspark.sql import functions as F
 
 from clicktrail.llm.components import components
 from clicktrail.llm.store import carrying, join_small, staged, unpacked
-from clicktrail.llm.words import chunks, find_words, mix
+from clicktrail.llm.words import chunks, find_words, longs, mix
 
 WORDS = 5
 PERCENT = 80
 BAND = 1.5  # ratio of the largest and the smallest set whose segments are cut alike
+SPARE = 4  # a set can leave out one segment for so many that links need
 BITS = 4096
 LEAF = 8
 FANOUT = 4
@@ -61,16 +63,19 @@ def _edges(segments: int) -> np.ndarray:
     return np.array([-(-(k << 64) // segments) for k in range(1, segments)], np.uint64)
 
 
-def segment_keys(shingles: np.ndarray, percent: int) -> np.ndarray:
-    """A key for each segment of a set, in its band and, if it can be similar to a set of it, the band below.
+def segment_keys(shingles: np.ndarray, percent: int) -> list[tuple[int, np.ndarray]]:
+    """(part, keys): a key for each segment of a set, in its band and, if it can be similar to a set of it, the band below.
 
     For a link the sets differ in at most d = n * (100 - percent) / percent shingles, n being the size of the
     smaller, which lies in the band that names the keys.  Of d + 1 + spare segments more than ``spare`` are equal,
-    so a set with no more than ``spare`` segments that hold hardly anything can leave these out.
+    so a set can leave out the first ``spare`` of its segments in any order that all sets share: the last of the equal
+    ones stays in both.  First in the order are segments that hold hardly anything, if they are no more than ``spare``; the
+    others go by how common they are (``_rare``).  A part is twice the number that the set can still leave out, and the
+    band's lowest bit, which tells the set's two bands apart.
     """
     n = len(shingles)
     if not n:
-        return shingles
+        return []
     low = bands(1 << max(10, int(n).bit_length()))
     band = int(np.searchsorted(low, n, side="right")) - 1
     sums = np.zeros(n + 1, np.uint64)
@@ -80,15 +85,16 @@ def segment_keys(shingles: np.ndarray, percent: int) -> np.ndarray:
         if b < 0 or (b < band and percent * n > 100 * (int(low[b + 1]) - 1)):
             continue
         segments = (int(low[b + 1]) - 1) * (100 - percent) // percent + 1
-        spare = segments // 8 + 1
+        spare = segments // SPARE + 1
         segments += spare
         at = np.concatenate(([0], np.searchsorted(shingles, _edges(segments)), [n]))
         content = sums[at[1:]] - sums[at[:-1]]
         place = np.arange(segments, dtype=np.uint64) + np.uint64((b << 40) + 1)
         keys = mix(content ^ mix(place * _KEY_B))
         filled = np.diff(at) >= max(1, 100 // (100 - percent) // 3)
-        out.append(keys[filled] if segments - filled.sum() <= spare else keys)
-    return np.concatenate(out)
+        left = spare - (segments - int(filled.sum()))
+        out.append((2 * max(left, 0) + b % 2, keys[filled] if left >= 0 else keys))
+    return out
 
 
 def bitmap(shingles: np.ndarray) -> bytes:
@@ -219,14 +225,36 @@ def _summaries(words: int):
 def _segments(words: int, percent: int):
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text"):
-            keys = [segment_keys(s, percent).view(np.int64) for s in sets_of(batch.column("text"), words)]
-            ends = np.concatenate(([0], np.cumsum([len(k) for k in keys]))).astype(np.int32)
-            flat = pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), flat)], names=["node", "segments"])
+            nodes = batch.column("doc_id").to_pylist()
+            found = [(node, *x) for node, s in zip(nodes, sets_of(batch.column("text"), words), strict=True) for x in segment_keys(s, percent)]
+            ends = np.concatenate(([0], np.cumsum([len(k) for *_, k in found]))).astype(np.int32)
+            flat = np.concatenate([np.zeros(0, np.uint64), *(k for *_, k in found)])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([node for node, *_ in found], pa.int64()),
+                    pa.array([part for _, part, _ in found], pa.int32()),
+                    pa.ListArray.from_arrays(pa.array(ends), longs(flat)),
+                ],
+                names=["node", "part", "segments"],
+            )
 
     return segments
 
 
+def _rare(keys: DataFrame) -> DataFrame:
+    """segment, node: the keys (segment, node, part) that several nodes have, without the most common ones that a part can leave out.
+
+    How many rows have a segment, then its key, is the order that all sets share.  Texts of one doc_id leave out no more
+    than one of them could.
+    """
+    equal = Window.partitionBy("segment")
+    counted = keys.withColumns({"n": F.count("*").over(equal), "least": F.min("node").over(equal), "most": F.max("node").over(equal)})
+    # Rows that repeat a document combine before they are shuffled.
+    shared = counted.where("least != most").select("segment", "node", "part", "n").distinct()
+    place = F.row_number().over(Window.partitionBy("node", "part").orderBy(F.desc("n"), "segment"))
+    return shared.withColumn("place", place).where("place > shiftright(part, 1)").select("segment", "node")
+
+
 def _sets(words: int, exact: bool):
     """Bitmaps of the members of cells, and their shingles where links are to be exact."""
 
@@ -307,11 +335,10 @@ def _classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, Data
     copies = summary.join(nodes, ["key", "n"]).where("doc_id != node").select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"))
     known = texts.where("doc_id is not null")
     single = join_small(known, staged(copies.distinct(), "copies"), (F.col("doc_id") == F.col("_doc")) & (F.col("text_key") == F.col("_key")), "left_anti")
-    keys = single.select("doc_id", "text").mapInArrow(_segments(words, percent), "node long, segments array<long>")
-    keys = keys.select(F.explode("segments").alias("segment"), "node")
-    equal = Window.partitionBy("segment").orderBy("node")
-    first = F.first("node").over(equal.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    cells = components(keys.withColumn("first", first).where("first != node").select("first", "node").distinct(), "first", "node")
+    keys = single.select("doc_id", "text").mapInArrow(_segments(words, percent), "node long, part int, segments array<long>")
+    rare = _rare(keys.select(F.explode("segments").alias("segment"), "node", "part"))
+    first = F.min("node").over(Window.partitionBy("segment"))
+    cells = components(rare.withColumn("first", first).where("first != node").select("first", "node").distinct(), "first", "node")
 
     for exact in (False, True):
         cells = staged(cells.select(F.col("node").alias("_node"), F.col("component").alias("cell")), "cells")

@@ -79,6 +79,47 @@ def test_one_python_worker_runs_in_a_task(documents, family, monkeypatch):
     assert len(plans) == 3 and not any("MapInArrow" in plan for plan in plans)  # components puts one of its own on top
 
 
+@pytest.mark.parametrize(("n", "percent"), [(5, 80), (3, 90)])
+def test_a_common_passage_makes_no_cell(documents, monkeypatch, n, percent):
+    rng = random.Random(21)
+    prose = lambda k: " ".join(f"{rng.choice(WORDS)}{rng.randrange(1000)}" for _ in range(k))
+    passage = prose(100)
+    rows = [(i, f"{prose(150)} {passage} {prose(rng.randrange(150, 260))}") for i in range(60)]
+    rows += [(100 + i, rows[i][1] + " one more") for i in range(0, 60, 6)]
+    rows += [rows[3]] * 40  # copies of a row change no order
+    cells, real = [], jaccard.components
+
+    def seen(links, *names):
+        if not cells:
+            cells.extend(sorted((r.first, r.node) for r in links.collect()))
+        return real(links, *names)
+
+    monkeypatch.setattr(jaccard, "components", seen)
+    got = {r.doc_id: r.component_id for r in jaccard.similar_documents(documents(rows), n, percent).collect()}
+    assert got == {i: i % 100 for i, _ in rows}
+    assert cells == [(i, 100 + i) for i in range(0, 60, 6)]
+
+
+def test_a_set_keeps_a_segment_of_each_similar_one():
+    """Whichever order all sets share: of two similar sets, one equal segment at least is left out by neither."""
+    rng = np.random.default_rng(8)
+    shingles = lambda k: rng.integers(0, 2**63, k).astype(np.uint64)
+    for n in [2, 5, 6, 9, 30, 31, 100, 333, 1000]:
+        for percent in (70, 80, 90):
+            base = shingles(n)
+            for new in range(n * (100 - percent) // percent + 1):
+                less = rng.integers(0, new + 1)
+                sets = [np.unique(base), np.unique(np.concatenate((base[less:], shingles(new - less))))]
+                if not jaccard.similar(*sets, percent):
+                    continue
+                kept = []
+                for s in sets:
+                    for part, keys in jaccard.segment_keys(s, percent):
+                        left = part // 2
+                        kept.append(set(np.sort(keys)[left:].tolist()))
+                assert any(a & b for i, a in enumerate(kept) for b in kept[i + 1 :])
+
+
 def test_one_of_equal_rows_stays(documents):
     text = "a b c d e f g"
     assert jaccard.one_of_each(documents([(4, text)] * 4 + [(None, text)] * 3)).count() == 1
